@@ -58,6 +58,9 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Lists are gathered per player or per batch, so groups are many and tiny; the
+    # default of 128 groups per task would send every such aggregate to sorting.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 

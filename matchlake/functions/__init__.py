@@ -12,6 +12,7 @@ from matchlake.functions.text import (
     ordered_concat,
     patch_of,
     performance_tier,
+    round2,
     set_number_of,
     strip_item_prefix,
     strip_set_prefix,
@@ -30,6 +31,7 @@ __all__ = [
     "ordered_concat",
     "patch_of",
     "performance_tier",
+    "round2",
     "set_number_of",
     "strip_item_prefix",
     "strip_set_prefix",

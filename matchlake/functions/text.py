@@ -45,7 +45,7 @@ def ordered_concat(value: Column, order: Column, separator: str = config.UNIT_SE
     pairs = F.collect_list(
         F.when(value.isNotNull(), F.struct(order.alias("position"), value.alias("value")))
     )
-    return joined(F.transform(F.array_sort(pairs), lambda pair: pair["value"]), separator)
+    return joined(F.transform(F.sort_array(pairs), lambda pair: pair["value"]), separator)
 
 
 def array_slots(values: Column, count: int, prefix: str) -> list[Column]:
@@ -60,6 +60,15 @@ def icon_slots(
     return array_slots(F.split(urls, re.escape(separator)), count, prefix)
 
 
+def round2(value: Column) -> Column:
+    """Two decimals, halves away from zero, as decided on the scaled floating-point value.
+
+    ``F.round`` decides on the shortest decimal text instead: it takes 4.475 for a half,
+    though the stored number and its hundredfold lie below.
+    """
+    return F.round(value * 100, 0) / 100
+
+
 def performance_tier(
     games: Column, top4_rate: Column, min_games: int = config.MIN_TIER_GAMES
 ) -> Column:

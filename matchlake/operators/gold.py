@@ -11,6 +11,7 @@ from matchlake.functions import (
     icon_url,
     joined,
     performance_tier,
+    round2,
     strip_item_prefix,
     strip_set_prefix,
 )
@@ -46,7 +47,7 @@ def win_rate_rollup(
         )
         .filter(F.col("total_games") >= min_games)
     )
-    rate = lambda part: F.round(F.col(part) / F.col("total_games") * 100, 2)
+    rate = lambda part: round2(F.col(part) / F.col("total_games") * 100)
     top4_rate = rate("total_top4")
     return counted.select(
         *keys,
@@ -55,7 +56,7 @@ def win_rate_rollup(
         "total_wins",
         top4_rate.alias("top4_rate"),
         rate("total_wins").alias("win_rate"),
-        F.round("_placement", 2).alias("avg_placement"),
+        round2(F.col("_placement")).alias("avg_placement"),
         performance_tier(F.col("total_games"), top4_rate, min_tier_games).alias("tier_winrate"),
     )
 
@@ -109,7 +110,7 @@ def core_units(units: DataFrame) -> DataFrame:
     """
     return (
         units.groupBy(*PLAYER)
-        .agg(F.array_sort(F.collect_list("character_id")).alias("champions"))
+        .agg(F.sort_array(F.collect_list("character_id")).alias("champions"))
         .withColumn("core_size", F.size(F.array_distinct("champions")).cast("long"))
     )
 
@@ -158,8 +159,9 @@ def item_builds(
     the items of all of them; ``per_copy=True`` keeps the copies apart. Each unit brings
     its whole item array, so nothing is exploded only to be grouped again.
     """
+    # An empty list has no item to make a build of, whatever the minimum.
     carried = units.filter(
-        F.col("item_names_json").isNotNull() & (F.col("item_count") >= min_items)
+        F.col("item_names_json").isNotNull() & (F.col("item_count") >= max(min_items, 1))
     ).select(
         *PLAYER,
         "character_id",
@@ -168,9 +170,9 @@ def item_builds(
         F.from_json("item_names_json", "array<string>", {"mode": "FAILFAST"}).alias("items"),
     )
     own_keys = [name for name in carried.columns if name != "items"]
-    builds = carried.filter(F.size("items") > 0).groupBy(*own_keys).agg(F.collect_list("items").alias("items"))
+    builds = carried.groupBy(*own_keys).agg(F.collect_list("items").alias("items"))
     carried_items = F.filter(F.flatten("items"), lambda item: item.isNotNull())
-    return builds.withColumn("items", F.array_sort(carried_items))
+    return builds.withColumn("items", F.sort_array(carried_items))
 
 
 def item_combo_winrate(

@@ -168,6 +168,7 @@ def fold_ledger(
     max_retries: int = config.MAX_RETRIES,
     max_dlq: int = config.MAX_DLQ_ATTEMPTS,
     slice_events: int = SLICE_EVENTS,
+    max_slices: int = MAX_SLICES,
 ) -> DataFrame:
     """The ledger after ``events``, starting from ``prior``.
 
@@ -183,7 +184,7 @@ def fold_ledger(
     folded = _fold_whole(few, prior, step)
     if hot_total is not None:
         many = events.join(hot.select("match_id"), "match_id", "left_semi")
-        slices = min(math.ceil(hot_total / slice_events) + 1, MAX_SLICES)
+        slices = min(math.ceil(hot_total / slice_events) + 1, max_slices)
         folded = folded.unionByName(_fold_sliced(many, prior, step, slices, max_retries, max_dlq))
     if prior is None:
         return folded
@@ -195,7 +196,7 @@ def fold_ledger(
 
 
 def _fold_whole(events: DataFrame, prior: DataFrame | None, step) -> DataFrame:
-    lists = _events(events).groupBy("match_id").agg(F.array_sort(F.collect_list("event")).alias("log"))
+    lists = _events(events).groupBy("match_id").agg(F.sort_array(F.collect_list("event")).alias("log"))
     folded = _with_prior(lists, prior).withColumn("doc", F.aggregate("log", F.col("before"), step))
     return _documents(folded, "doc")
 
@@ -239,7 +240,7 @@ def _fold_sliced(
     logs = (
         _events(sliced.withColumn("match_id", F.struct("match_id", "slice")))
         .groupBy("match_id")
-        .agg(F.array_sort(F.collect_list("event")).alias("log"))
+        .agg(F.sort_array(F.collect_list("event")).alias("log"))
         .select("match_id.match_id", "match_id.slice", "log")
         .checkpoint()
     )
@@ -249,7 +250,7 @@ def _fold_sliced(
     chains = (
         logs.select("match_id", F.struct("slice", ends.alias("ends")).alias("move"))
         .groupBy("match_id")
-        .agg(F.array_sort(F.collect_list("move")).alias("moves"))
+        .agg(F.sort_array(F.collect_list("move")).alias("moves"))
     )
     first = F.struct(control(F.col("before")).alias("at"), F.array().cast("array<struct<slice:int,at:int>>").alias("starts"))
     walked = F.aggregate(
@@ -269,7 +270,7 @@ def _fold_sliced(
             F.aggregate("log", F.element_at(F.array(*seeds), F.col("at") + 1), step).alias("outcome"),
         ).alias("part"),
     )
-    parts = outcomes.groupBy("match_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    parts = outcomes.groupBy("match_id").agg(F.sort_array(F.collect_list("part")).alias("parts"))
     merged = _with_prior(parts, prior).withColumn(
         "doc", F.aggregate("parts", F.col("before"), lambda s, p: _merge(s, p["outcome"]))
     )

@@ -92,7 +92,7 @@ def unit_facts(players: DataFrame, as_of: Column | None = None) -> DataFrame:
         ),
     )
     units = players.select(
-        *CONTEXT, "ingestion_date", F.posexplode(F.array_sort(board)).alias("index", "u")
+        *CONTEXT, "ingestion_date", F.posexplode(F.sort_array(board)).alias("index", "u")
     )
     position = F.col("index").cast("bigint") + 1
     return units.select(

@@ -142,7 +142,7 @@ def documents(t: Tables) -> DataFrame:
     lines = _lines(t)
     unit_order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "character_id", "tier"]
     unit = F.struct(*unit_order, "rarity", "items", "p_type")
-    boards = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(unit)).alias("board"))
+    boards = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(unit)).alias("board"))
     units = F.transform(
         "board",
         lambda u: F.struct(
@@ -152,7 +152,7 @@ def documents(t: Tables) -> DataFrame:
             u["items"].alias("itemNames"),
         ),
     )
-    kinds = F.array_sort(F.array_distinct(F.col("board.p_type")))
+    kinds = F.sort_array(F.array_distinct(F.col("board.p_type")))
 
     def trait(kind: Column) -> Column:
         count = F.size(F.filter(F.col("board.p_type"), lambda p: p == kind)).cast("long")
@@ -194,7 +194,7 @@ def documents(t: Tables) -> DataFrame:
         ).alias("participant"),
     )
     match = ["m", "match_id", "game_datetime", "tft_set_number", "game_version", "ingestion_date", "queue_id"]
-    matches = seats.groupBy(*match).agg(F.array_sort(F.collect_list("participant")).alias("participants"))
+    matches = seats.groupBy(*match).agg(F.sort_array(F.collect_list("participant")).alias("participants"))
     metadata = F.struct("match_id", F.lit("6").alias("data_version"))
     info = F.struct(
         F.col("m").alias("gameId"),
@@ -270,3 +270,58 @@ def catalogue_sets(t: Tables) -> DataFrame:
 
 def stored_items(t: Tables) -> DataFrame:
     return t.part.filter(F.col("p_partkey") % 97 == 0).select(F.lower("p_name").alias("api_name")).distinct()
+
+
+def ledger(t: Tables) -> DataFrame:
+    """A ledger of matches: the state of a match is that of its first order."""
+    first = t.orders.groupBy(match_id_of(F.col("o_orderkey")).alias("match_id")).agg(
+        F.min_by("o_orderstatus", "o_orderkey").alias("first_status"), F.min("o_orderkey").alias("first_key")
+    )
+    status = F.when(F.col("first_status") == "F", "success").when(F.col("first_status") == "P", "abandoned")
+    return first.select("match_id", status.otherwise("error").alias("status"), (F.col("first_key") % 3).alias("retries"))
+
+
+def _event_number() -> Column:
+    return F.get_json_object("props", "$.k").cast("long")
+
+
+def fetch_attempts(t: Tables) -> DataFrame:
+    """A fetch per event; the batches are the days."""
+    kinds = {"signup": "not_found", "purchase": "fetch_ok", "view": "fetch_ok", "error": "fetch_error", "click": "fetch_error"}
+    pick = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    message = F.when(F.col("event_type") == "error", "connection reset").when(F.col("event_type") == "click", "refused (403)")
+    return t.events.select(
+        F.date_format("ts", "yyyyMMdd").alias("batch_id"),
+        F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("match_id"),
+        F.element_at(pick, F.col("event_type")).alias("kind"),
+        message.alias("message"),
+    )
+
+
+def ledger_before(t: Tables) -> DataFrame:
+    """The ledger those fetches find, by the number each event carries."""
+    number = _event_number()
+    status = F.when(number % 5 == 0, "success").when(number % 5 == 1, "abandoned").otherwise("error")
+    return t.events.select(
+        F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("match_id"),
+        status.alias("status"),
+        (number % 3).alias("retries"),
+    )
+
+
+def queue_messages(t: Tables) -> DataFrame:
+    """Messages of fifty event ids each; some are broken in one of three ways."""
+    number = F.floor(F.col("event_id") / 50).cast("long")
+    batches = t.events.groupBy(number.alias("number")).agg(
+        F.sort_array(F.collect_list(F.concat(F.lit("E"), F.col("event_id").cast("string")))).alias("ids")
+    )
+    payload = F.to_json(
+        F.struct(
+            F.when(F.col("number") % 11 == 3, F.array().cast("array<string>")).otherwise(F.col("ids")).alias("match_ids"),
+            F.concat(F.lit("20240101-0000-"), F.col("number").cast("string")).alias("batch_id"),
+            F.size("ids").alias("size"),
+        )
+    )
+    text = F.when(F.col("number") % 13 == 5, F.lit("{not json")).otherwise(payload)
+    data = F.when(F.col("number") % 7 == 2, F.lit("!no base64!")).otherwise(F.base64(text.cast("binary")))
+    return batches.select("number", data.alias("data"))

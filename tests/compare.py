@@ -1,0 +1,61 @@
+"""Run the registered queries beside their SQL and compare all values."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import glob
+import math
+import os
+
+import duckdb
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _value(v):
+    if v is None:
+        return ("0",)
+    if isinstance(v, bool):
+        return ("b", v)
+    if isinstance(v, decimal.Decimal):
+        v = float(v) if v % 1 else int(v)
+    if isinstance(v, float):
+        return ("n", repr(v)) if not math.isnan(v) else ("nan",)
+    if isinstance(v, int):
+        return ("n", repr(v))
+    if isinstance(v, (dt.datetime, dt.date)):
+        return ("t", v.isoformat())
+    return ("s", str(v))
+
+
+def normal(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted(tuple(_value(r[i]) for i in order) for r in rows)
+
+
+def differences(spark_df, con, sql: str, limit: int = 3) -> list[str]:
+    got_cols, got = normal(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    result = con.execute(sql)
+    want_cols, want = normal([d[0] for d in result.description], result.fetchall())
+    if got_cols != want_cols:
+        return [f"columns {got_cols} != {want_cols}"]
+    if not want:
+        return ["the comparison is empty"]
+    out = []
+    if len(got) != len(want):
+        out.append(f"{len(got)} rows != {len(want)}")
+    if got != want:
+        a, b = set(got), set(want)
+        out += [f"only spark {list(zip(got_cols, x))}" for x in list(a - b)[:limit]]
+        out += [f"only duckdb {list(zip(got_cols, x))}" for x in list(b - a)[:limit]]
+        out = out or ["same rows, other counts"]
+    return out
