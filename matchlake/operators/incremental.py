@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,18 +19,19 @@ class DuplicateKeyError(ValueError):
 
 def incremental_slice(
     df: DataFrame,
-    target: DataFrame | None,
+    target: DataFrame | date | None,
     column: str = "ingestion_date",
     lookback_days: int = 0,
 ) -> DataFrame:
     """Rows not older than the newest row of ``target``, all rows for an empty target.
 
-    The mark is fetched first and used as a literal, so the scan of ``df`` prunes whole
-    folders. ``lookback_days`` moves it back to admit late files in older folders.
+    ``target`` is the table loaded so far or its mark. The mark is a literal by the time
+    it is used, so the scan of ``df`` prunes whole folders. ``lookback_days`` moves it
+    back to admit late files in older folders.
     """
-    if target is None:
-        return df
-    mark = target.agg(F.max(column).alias("mark")).first()["mark"]
+    mark = target
+    if isinstance(target, DataFrame):
+        mark = target.agg(F.max(column).alias("mark")).first()["mark"]
     if mark is None:
         return df
     bound = F.lit(mark) if not lookback_days else F.date_sub(F.lit(mark), lookback_days)
@@ -51,20 +53,24 @@ def unique_updates(updates: DataFrame, keys: list[str], on_duplicate: str = "err
     if on_duplicate == "checked":
         return updates
     if on_duplicate == "error":
-        clash = (
-            updates.filter(complete_key(keys)).groupBy(*keys).count().filter("count > 1").limit(1)
-        )
-        found = clash.collect()
-        if found:
-            raise DuplicateKeyError(f"more than one update row for key {found[0].asDict()}")
+        refuse_duplicates(updates, keys)
         return updates
     if on_duplicate != "latest":
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
     order = [F.col(name).desc() for name in NEWEST_FIRST if name in updates.columns]
     # Whatever still ties is settled by the row itself, to have the same winner each run.
     order.append(F.xxhash64(*[n for n in updates.columns if n != "dbt_updated_at"]).desc())
-    newest = top_per_group(updates.filter(complete_key(keys)), keys, order)
-    return newest.unionByName(updates.filter(~complete_key(keys)))
+    # Each row with an incomplete key is a group of its own.
+    alone = F.when(~complete_key(keys), F.monotonically_increasing_id())
+    return top_per_group(updates.withColumn("_alone", alone), [*keys, "_alone"], order).drop("_alone")
+
+
+def refuse_duplicates(updates: DataFrame, keys: list[str]) -> None:
+    """Raise when a complete key occurs twice."""
+    clash = updates.filter(complete_key(keys)).groupBy(*keys).count().filter("count > 1").limit(1)
+    found = clash.collect()
+    if found:
+        raise DuplicateKeyError(f"more than one row for key {found[0].asDict()}")
 
 
 def sync_columns(target: DataFrame, updates: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from matchlake.operators.incremental import unique_updates, upsert
+from matchlake.operators.incremental import refuse_duplicates, unique_updates, upsert
 from matchlake.schemas import describe
 from matchlake.sources import files, partitions
 from matchlake.sources.bronze import read_bronze
@@ -108,22 +108,20 @@ class Catalog:
     ) -> None:
         path = self.path(name)
         partitions.recover(self.spark, path)
-        # The updates are used several times below: computed once, and safe from the loss
-        # of executors.
-        staged = partitions.stage(df, path, "updates")
-        updates = unique_updates(staged, keys, on_duplicate)
         if full_refresh or not self.has(name):
-            updates.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-                column
-            ).parquet(path)
-            files.write_note(self.spark, f"{path}/_columns.json", df.schema.jsonValue())
-            files.remove(self.spark, partitions.staging_of(path))
-            self.spark.catalog.refreshByPath(path)
-            return
-        target = self.table(name)
-        # An update may move a row to another date; its old partition counts as touched.
-        moved = target.select(*keys, column).join(updates.select(*keys), keys, "left_semi")
-        dates = partitions.partition_values(moved.select(column).union(updates.select(column)), column)
-        merged = upsert(target.filter(partitions.touched(column, dates)), updates, keys, "checked")
-        partitions.replace_partitions(merged, path, column, dates)
+            if on_duplicate != "error":
+                partitions.replace_partitions(unique_updates(df, keys, on_duplicate), path, column)
+            else:
+                # Checked on what was written, so that it is computed once.
+                partitions.replace_partitions(df, path, column, check=lambda new: refuse_duplicates(new, keys))
+        else:
+            # The updates are used several times: computed once, and safe from the loss
+            # of executors.
+            updates = unique_updates(partitions.stage(df, path, "updates"), keys, on_duplicate)
+            target = self.table(name)
+            # An update may move a row to another date; its old partition is touched too.
+            moved = target.select(*keys, column).join(updates.select(*keys), keys, "left_semi")
+            dates = partitions.partition_values(moved.select(column).union(updates.select(column)), column)
+            merged = upsert(target.filter(partitions.touched(column, dates)), updates, keys, "checked")
+            partitions.replace_partitions(merged, path, column, dates)
         files.write_note(self.spark, f"{path}/_columns.json", df.schema.jsonValue())

@@ -8,9 +8,10 @@ Untouched partitions are neither read nor rewritten.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.sources import files
@@ -57,22 +58,36 @@ def stage(df: DataFrame, path: str, part: str) -> DataFrame:
 
 
 def replace_partitions(
-    df: DataFrame, path: str, column: str, values: list[date | None], format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    column: str,
+    values: list[date | None] | None = None,
+    format: str = "parquet",
+    check: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Make ``df`` the whole content of the partitions ``values`` of the dataset."""
+    """Make ``df`` the whole content of the partitions ``values``, or of the dataset.
+
+    ``check`` sees the new content before it replaces anything, and may raise. Rows are
+    rebalanced by partition first: a date becomes a few files of good size however many
+    tasks held its rows, and a large date is split over several tasks.
+    """
     spark = df.sparkSession
-    staging = staging_of(path)
-    content = f"{staging}/content"
-    writer: DataFrameWriter = df.write.mode("overwrite").partitionBy(column).format(format)
-    writer.save(content)
-    names = {folder_of(column, v) for v in values}
+    content = f"{staging_of(path)}/content"
+    writer = df.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
+    writer.format(format).save(content)
+    if check is not None:
+        check(spark.read.schema(df.schema).format(format).load(content))
     filled = set(files.folders(spark, content))
+    if values is None:
+        names = filled | {n for n in files.folders(spark, path) if n.startswith(f"{column}=")}
+    else:
+        names = {folder_of(column, v) for v in values}
     if not filled <= names:
         raise ValueError(f"rows outside the replaced partitions: {sorted(filled - names)}")
     plan = {"content": content, "filled": sorted(filled), "empty": sorted(names - filled)}
-    files.write_note(spark, f"{staging}/plan.json", plan)
+    files.write_note(spark, f"{staging_of(path)}/plan.json", plan)
     _move_in(spark, path, plan)
-    files.remove(spark, staging)
+    files.remove(spark, staging_of(path))
     spark.catalog.refreshByPath(path)
 
 

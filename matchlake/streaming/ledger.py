@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from matchlake import config, schemas
@@ -11,6 +12,8 @@ from matchlake.operators.ledger import SLICE_EVENTS, fold_ledger
 from matchlake.operators.ranking import top_per_group
 from matchlake.sources import files
 
+VERSIONED = T.StructType([*schemas.LEDGER.fields, T.StructField("version", T.LongType())])
+
 
 class LedgerTable:
     """Ledger documents by the micro-batch that changed them.
@@ -44,7 +47,7 @@ class LedgerTable:
         folders = self._folders(before)
         if not folders:
             return None
-        parts = self.spark.read.schema(schemas.LEDGER.add("version", "long")).parquet(*folders)
+        parts = self.spark.read.schema(VERSIONED).parquet(*folders)
         return top_per_group(parts, ["match_id"], [F.col("version").desc()]).drop("version")
 
     def write(self, documents: DataFrame, number: int, kind: str = "batch") -> None:
