@@ -55,7 +55,9 @@ class Catalog:
         return f"{self.root}/{schema}/{name}"
 
     def has(self, name: str) -> bool:
-        return name in self._views or files.has_data(self.spark, self.path(name))
+        if name in self._views or files.has_data(self.spark, self.path(name)):
+            return True
+        return files.exists(self.spark, f"{self.path(name)}/_columns.json")  # has no rows yet
 
     def table(self, name: str) -> DataFrame:
         if name in self._views:

@@ -120,9 +120,10 @@ def run_pipeline(
             if name in done:
                 continue
             for need in MODELS[name].needs:
-                # A view of an earlier session has to be declared again to be read.
-                if MODELS.get(need, MODELS[name]).kind == "view" and not catalog.has(need):
+                # A view lists its files when it is declared: again in every run.
+                if need in MODELS and MODELS[need].kind == "view" and need not in done:
                     run_model(catalog, need, as_of=as_of)
+                    done.add(need)
             run_model(catalog, name, full_refresh, as_of, lookback_days, on_duplicate)
             done.add(name)
         for name in select_models(layers):
