@@ -108,11 +108,13 @@ def core_units(units: DataFrame) -> DataFrame:
     A group is one player's board. Everything derived from the champions (key, display
     text, icon addresses) is left to the end, where one row per composition is left.
     """
-    return (
-        units.groupBy(*PLAYER)
-        .agg(F.sort_array(F.collect_list("character_id")).alias("champions"))
-        .withColumn("core_size", F.size(F.array_distinct("champions")).cast("long"))
-    )
+    champions = F.sort_array(F.collect_list("character_id"))
+    return units.groupBy(*PLAYER).agg(champions.alias("champions"))
+
+
+def core_size(champions: Column) -> Column:
+    """Number of distinct champions."""
+    return F.size(F.array_distinct(champions)).cast("long")
 
 
 def core_comp_winrate(
@@ -127,7 +129,7 @@ def core_comp_winrate(
     Players without an active trait keep a NULL primary trait.
     """
     played = core_units(units).join(primary_trait(traits), ["match_id", "puuid"], "left")
-    keys = ["tft_set_number", "patch", "champions", "core_size", "primary_trait"]
+    keys = ["tft_set_number", "patch", "champions", "primary_trait"]
     champions = F.col("champions")
     names = F.transform(champions, lambda c: strip_set_prefix(c, anywhere=True))
     icons = F.transform(champions, lambda c: icon_url(c, "champions", base))
@@ -142,7 +144,7 @@ def core_comp_winrate(
             joined(names, separator).alias("core_key_display"),
             joined(F.col("_icons"), separator).alias("core_icon_urls"),
             *array_slots(F.col("_icons"), slots, "unit_icon_"),
-            "core_size",
+            core_size(champions).alias("core_size"),
             "primary_trait",
             strip_set_prefix(F.col("primary_trait")).alias("primary_trait_display"),
             *METRICS,

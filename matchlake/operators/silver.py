@@ -18,14 +18,22 @@ def player_results(
     top: int = config.TOP_PLACEMENT,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """One row per player and match. Matches without participants give no rows."""
+    """One row per player and match. Matches without participants give no rows.
+
+    ``staged`` carries the participants as JSON text, or as an array where the reader has
+    taken the documents apart already.
+    """
+    if "participants" in staged.columns:
+        participants = F.col("participants")
+    else:
+        participants = F.from_json("participants_json", schemas.PARTICIPANTS, STRICT)
     players = staged.select(
         "match_id",
         "game_datetime",
         "tft_set_number",
         "ingestion_date",
         patch_of(F.col("game_version"), patch_pattern).alias("patch"),
-        F.explode(F.from_json("participants_json", schemas.PARTICIPANTS, STRICT)).alias("p"),
+        F.explode(participants).alias("p"),
     )
     placement = F.col("p.placement").cast("bigint")
     return players.select(

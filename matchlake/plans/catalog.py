@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from matchlake.operators.incremental import refuse_duplicates, unique_updates, upsert
 from matchlake.schemas import describe
 from matchlake.sources import files, partitions
-from matchlake.sources.bronze import read_bronze
+from matchlake.sources.bronze import read_bronze, read_matches
 
 PARTITION = "ingestion_date"
 LAYERS = {
@@ -74,6 +74,10 @@ class Catalog:
             reader = reader.schema(T.StructType.fromJson(note))
         return describe(reader.parquet(self.path(name)), name)
 
+    def matches(self) -> DataFrame:
+        """The matches of ``stg_matches`` as the player facts read them."""
+        return read_matches(self.spark, self.path("raw_matches"))
+
     def newest_partition(self, name: str) -> date | None:
         """Largest partition date, read off the folder names: no file is opened."""
         partitions.recover(self.spark, self.path(name))

@@ -166,7 +166,8 @@ def ordered_concat_query(t):
 
 @query
 def count_distinct_core(t):
-    return gold.core_units(fx.unit_rows(t)).select("match_id", "puuid", "core_size")
+    size = gold.core_size(F.col("champions"))
+    return gold.core_units(fx.unit_rows(t)).select("match_id", "puuid", size.alias("core_size"))
 
 
 @query

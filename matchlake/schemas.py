@@ -54,6 +54,18 @@ PARTICIPANTS = T.ArrayType(
     )
 )
 
+# The same document for readers that take it apart in one pass.
+DOCUMENT = T.StructType(
+    [
+        T.StructField("metadata", METADATA),
+        T.StructField(
+            "info",
+            T.StructType([*INFO.fields[:-1], T.StructField("participants", PARTICIPANTS)]),
+        ),
+        T.StructField("date", T.DateType()),
+    ]
+)
+
 TRAITS = T.ArrayType(T.StructType(_text("name", "num_units", "tier_current", "tier_total", "style")))
 
 UNITS = T.ArrayType(T.StructType(_text("character_id", "tier", "rarity", "itemNames")))

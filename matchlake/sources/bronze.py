@@ -25,6 +25,34 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     return _columns(spark.read.schema(schemas.BRONZE).option("mode", "FAILFAST").json(root))
 
 
+def read_matches(spark: SparkSession, root: str) -> DataFrame:
+    """What ``player_results`` needs of the documents, taken apart in a single pass.
+
+    Staging keeps the blocks and the participants as JSON text, which costs a pass over
+    the text each. Here the file reader yields the participants directly.
+    """
+    return _matches(spark.read.schema(schemas.DOCUMENT).option("mode", "FAILFAST").json(root))
+
+
+def stream_matches(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+    """``read_matches`` of newly arrived files, each file once."""
+    reader = spark.readStream.schema(schemas.DOCUMENT).option("mode", "FAILFAST")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _matches(reader.json(root))
+
+
+def _matches(documents: DataFrame) -> DataFrame:
+    return documents.filter(F.col("metadata.match_id").isNotNull()).select(
+        "metadata.match_id",
+        F.timestamp_millis(F.col("info.game_datetime").cast("bigint")).alias("game_datetime"),
+        F.col("info.game_version").alias("game_version"),
+        F.col("info.tft_set_number").cast("bigint").alias("tft_set_number"),
+        "info.participants",
+        F.col("date").alias("ingestion_date"),
+    )
+
+
 def stream_bronze(
     spark: SparkSession, root: str, dedupe: bool = False, files_per_batch: int | None = None
 ) -> DataFrame:
