@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -217,16 +219,18 @@ def meta_view(
 ) -> DataFrame:
     """A gold table narrowed by patch, champion and grade, best top-4 rate first.
 
-    Tables by item build are ordered by champion first.
+    Tables by item build are ordered by champion first. Of compositions those stay that
+    the champion is part of.
     """
-    wanted: list[tuple[str, str | None]] = [
-        ("patch", patch),
-        ("character_id", character),
-        ("tier_winrate", tier),
-    ]
-    for name, value in wanted:
-        if value is not None:
-            gold = gold.filter(F.col(name) == value)
+    if patch is not None:
+        gold = gold.filter(F.col("patch") == patch)
+    if tier is not None:
+        gold = gold.filter(F.col("tier_winrate") == tier)
+    if character is not None and "core_key" in gold.columns:
+        members = F.split("core_key", re.escape(config.UNIT_SEPARATOR))
+        gold = gold.filter(F.array_contains(members, character))
+    elif character is not None:
+        gold = gold.filter(F.col("character_id") == character)
     order: list[Column] = [F.col("top4_rate").desc()]
     if "item_combo" in gold.columns:
         order.insert(0, F.col("character_id").asc())

@@ -32,6 +32,8 @@ TYPES = dict(part.split(":") for part in STATE.removeprefix("struct<").removesuf
 # Keys with more events than this are folded in slices instead of at once.
 SLICE_EVENTS = 100_000
 MAX_SLICES = 20_000
+# The list of such ids is broadcast: some tens of megabytes at most.
+MAX_HOT_IDS = 500_000
 
 
 def recoverable(kind: Column, message: Column) -> Column:
@@ -178,13 +180,12 @@ def fold_ledger(
     combined in the input tasks.
     """
     step = _apply(max_retries, max_dlq)
-    hot = events.groupBy("match_id").count().filter(F.col("count") > slice_events)
-    hot_total = hot.agg(F.sum("count")).first()[0]
-    few = events if hot_total is None else events.join(hot.select("match_id"), "match_id", "left_anti")
+    hot, hot_events = _hot_ids(events, slice_events)
+    few = events if hot is None else events.join(hot, "match_id", "left_anti")
     folded = _fold_whole(few, prior, step)
-    if hot_total is not None:
-        many = events.join(hot.select("match_id"), "match_id", "left_semi")
-        slices = min(math.ceil(hot_total / slice_events) + 1, max_slices)
+    if hot is not None:
+        many = events.join(hot, "match_id", "left_semi")
+        slices = min(math.ceil(hot_events / slice_events) + 1, max_slices)
         folded = folded.unionByName(_fold_sliced(many, prior, step, slices, max_retries, max_dlq))
     if prior is None:
         return folded
@@ -195,6 +196,25 @@ def fold_ledger(
     return folded.unionByName(idle.select("match_id", *kept, asked.alias("requeue")))
 
 
+def _hot_ids(events: DataFrame, slice_events: int) -> tuple[DataFrame | None, int]:
+    """Ids with more than ``slice_events`` events, to be broadcast, and their events.
+
+    There are MAX_HOT_IDS of them at most. Should more ids be that large, the bar goes up
+    to their mean number of events for a list that long, which fewer ids can exceed.
+    """
+    sizes = events.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.filter(F.col("n") > slice_events)
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    ids, size = hot.agg(F.count(F.lit(1)), total).first()
+    if ids > MAX_HOT_IDS:
+        hot = sizes.filter(F.col("n") > max(slice_events, size // MAX_HOT_IDS))
+        ids, size = hot.agg(F.count(F.lit(1)), total).first()
+    if ids == 0:
+        return None, 0
+    config.shared_dir(events.sparkSession)
+    return F.broadcast(hot.select("match_id").checkpoint()), size
+
+
 def _fold_whole(events: DataFrame, prior: DataFrame | None, step) -> DataFrame:
     lists = _events(events).groupBy("match_id").agg(F.sort_array(F.collect_list("event")).alias("log"))
     folded = _with_prior(lists, prior).withColumn("doc", F.aggregate("log", F.col("before"), step))

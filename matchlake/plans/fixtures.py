@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from matchlake.functions import patch_of
 from matchlake.operators.silver import CONTEXT
 
-PLAYERS_PER_MATCH = 8
 
 
 class Tables:
@@ -30,7 +29,7 @@ class Tables:
 
 
 def match_of(order_key: Column) -> Column:
-    return F.floor(order_key / PLAYERS_PER_MATCH).cast("long")
+    return F.shiftright(order_key, 3)  # eight orders to a match
 
 
 def match_id_of(order_key: Column) -> Column:

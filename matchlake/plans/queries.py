@@ -50,7 +50,8 @@ def query(build: Callable[[fx.Tables], DataFrame]) -> Callable[[fx.Tables], Data
         config.configure(spark)
         return plain(build(fx.Tables(spark, folder)))
 
-    QUERIES[build.__name__] = run
+    # The suffix keeps a query from hiding the operator it is named after.
+    QUERIES[build.__name__.removesuffix("_query")] = run
     return build
 
 
@@ -435,8 +436,3 @@ def check_not_null(t):
 @query
 def check_unique(t):
     return quality.check_unique(t.lineitem, ["l_orderkey", "l_linenumber"])
-
-
-# Queries named like the operator they would otherwise hide.
-for _name in [n for n in QUERIES if n.endswith("_query")]:
-    QUERIES[_name.removesuffix("_query")] = QUERIES.pop(_name)

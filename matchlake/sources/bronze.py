@@ -81,15 +81,20 @@ def json_lines(df: DataFrame) -> DataFrame:
     return df.select(line.alias("value"), "date")
 
 
-def write_bronze(df: DataFrame, root: str, order: list[Column] | None = None) -> None:
+def write_bronze(
+    df: DataFrame, root: str, order: list[Column] | None = None, as_of: Column | None = None
+) -> None:
     """Store documents; one that has come before on the same date replaces the old one.
 
     ``order`` says which of several copies in ``df`` is the last (largest first); without
     it the choice is arbitrary but repeatable. Documents share files, so a day of many
-    small documents is a few large files. Only the dates in ``df`` are rewritten.
+    small documents is a few large files. Only the dates in ``df`` are rewritten. Without
+    a column ``date`` the documents go to the UTC date of ``as_of``, or of now.
     """
     spark = df.sparkSession
     partitions.recover(spark, root)
+    if "date" not in df.columns:
+        df = df.withColumn("date", F.to_date(F.current_timestamp() if as_of is None else as_of))
     keyed = df.withColumn("match_id", match_id_of(F.col("metadata")))
     if order is None:
         order = [F.xxhash64("metadata", "info").desc()]

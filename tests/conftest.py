@@ -12,9 +12,9 @@ from matchlake import config  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[2]")
         .appName("matchlake-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         # Little data and many plans: quick compilation beats good code.
         .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .config("spark.driver.memory", "8g")

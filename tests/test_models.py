@@ -271,3 +271,5 @@ def test_meta_view(spark):
     df = spark.createDataFrame([("p", "A", "S", 90.0), ("p", "B", "S", 95.0), ("q", "A", "B", 55.0)], "patch string, character_id string, tier_winrate string, top4_rate double")
     assert [r.character_id for r in gold.meta_view(df, patch="p", tier="S").collect()] == ["B", "A"]
     assert gold.meta_view(df, character="A").count() == 2
+    comps = spark.createDataFrame([("A | B", 60.0), ("AA | B", 70.0)], "core_key string, top4_rate double")
+    assert [r.core_key for r in gold.meta_view(comps, character="A").collect()] == ["A | B"]

@@ -59,6 +59,9 @@ def test_the_last_copy_in_one_write_wins(spark, tmp_path):
     order = F.get_json_object("info", "$.queue_id").cast("int").desc()
     write_bronze(bronze(spark, *copies), root, [order])
     assert [json.loads(r.info)["queue_id"] for r in read_bronze(spark, root).collect()] == [3]
+    late = F.lit("2024-01-03 23:59:59").cast("timestamp")
+    write_bronze(bronze(spark, match(1, DAYS[0])).drop("date"), root, as_of=late)
+    assert {r.date for r in read_bronze(spark, root).collect()} == {DAYS[0], DAYS[2]}
 
 
 def test_refresh_in_steps_equals_a_full_one(spark, tmp_path):
