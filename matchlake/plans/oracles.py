@@ -25,7 +25,7 @@ players AS (
     'Version ' || (15 + m % 2) || '.' || (1 + m % 3) || '.700.1234' AS game_version,
     nullif(regexp_extract('Version ' || (15 + m % 2) || '.' || (1 + m % 3) || '.700.1234', '16\\.\\d+\\.\\d+'), '') AS patch,
     DATE '2024-01-01' + CAST(m % 10 AS INTEGER) AS ingestion_date,
-    CASE WHEN first_priority <> '5-LOW' THEN 1100 ELSE 1090 END AS queue_id
+    CASE WHEN first_priority <> '5-LOW' THEN 1100 ELSE 1090 END::BIGINT AS queue_id
   FROM seats)"""
 
 UNITS = f"""{SEATS},
@@ -33,20 +33,21 @@ units AS (
   SELECT p.match_id, p.patch, p.puuid, p.game_datetime, p.tft_set_number, p.placement, p.top4, p.win,
     p.ingestion_date, p.o_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, p_type,
     'TFT' || p.tft_set_number || '_' || replace(p_brand, '#', '') AS character_id,
-    1 + l_linenumber % 3 AS tier, p_size % 7 AS rarity,
+    CAST(1 + l_linenumber % 3 AS BIGINT) AS tier, CAST(p_size % 7 AS BIGINT) AS rarity,
     list_slice(['TFT' || p.tft_set_number || '_Item_' || p_type, 'TFT_Item_S' || (p_size % 4),
       'TFT' || p.tft_set_number || '_Item_' || p_type], 1, l_linenumber % 4) AS items,
-    l_linenumber % 4 AS item_count
+    CAST(l_linenumber % 4 AS BIGINT) AS item_count
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN players p ON l_orderkey = p.o_orderkey)"""
 
 TRAITS = f"""{UNITS},
 traits AS (
   SELECT match_id, patch, puuid, game_datetime, tft_set_number, placement, top4, win,
     'TFT' || tft_set_number || '_' || p_type AS trait_name, count(*) AS num_units,
-    count(*) - 1 + o_orderkey % 2 AS tier_current, 3 AS tier_total,
+    count(*) - 1 + o_orderkey % 2 AS tier_current, 3::BIGINT AS tier_total,
     least(count(*) - 1 + o_orderkey % 2, 4) AS style, count(*) - 1 + o_orderkey % 2 > 0 AS is_active, ingestion_date,
     p_type
-  FROM units GROUP BY ALL)""".replace("GROUP BY ALL", "GROUP BY match_id, patch, puuid, game_datetime, tft_set_number, placement, top4, win, p_type, o_orderkey, ingestion_date")
+  FROM units
+  GROUP BY match_id, patch, puuid, game_datetime, tft_set_number, placement, top4, win, p_type, o_orderkey, ingestion_date)"""
 
 UNIT_FACTS = f"""{UNITS},
 facts AS (
@@ -123,7 +124,7 @@ LADDER = "SELECT c_mktsegment AS tier, c_custkey AS pos, 'C' || c_custkey AS puu
 HISTORY = """
 history AS (
   SELECT 'C' || o_custkey AS puuid, 'M' || (o_orderkey // 8) AS match_id, max(o_orderdate) AS game_datetime,
-    min(CASE WHEN o_orderpriority <> '5-LOW' THEN 1100 ELSE 1090 END) AS queue_id
+    min(CASE WHEN o_orderpriority <> '5-LOW' THEN 1100 ELSE 1090 END)::BIGINT AS queue_id
   FROM orders GROUP BY 1, 2)"""
 
 
@@ -307,7 +308,7 @@ ids AS (
     (SELECT match_id FROM ledger WHERE status IN ('success', 'abandoned')) AS is_new
   FROM history)
 SELECT count(*) AS total_ids, count(*) FILTER (is_new) AS new_ids, count(*) FILTER (NOT is_new) AS skipped,
-  CAST(ceil(count(*) FILTER (is_new) / 50) AS BIGINT) AS batches, 50 AS batch_size
+  CAST(ceil(count(*) FILTER (is_new) / 50) AS BIGINT) AS batches, 50::BIGINT AS batch_size
 FROM ids""",
     "batch_ids": f"""WITH {HISTORY}, numbered AS (
   SELECT match_id, (row_number() OVER (ORDER BY md5(match_id), match_id) - 1) // 50 + 1 AS batch_num
@@ -329,7 +330,7 @@ FROM events GROUP BY 1 HAVING count(*) >= 5""",
     "stream_ledger": FOLD,
     "fold_ledger_prior": f"WITH {_fold('hour(ts) >= 12, ts, event_id')} SELECT * FROM folded",
     "requeue": f"""WITH {_fold()}
-SELECT match_id, 0 AS batch_num, '20240201-0000-0' AS batch_id FROM folded WHERE requeue""",
+SELECT match_id, 0::BIGINT AS batch_num, '20240201-0000-0' AS batch_id FROM folded WHERE requeue""",
     "ledger_status_counts": f"""WITH {_fold()}
 SELECT status, count(*) AS total FROM folded GROUP BY status ORDER BY status""",
     "batch_outcomes": """WITH numbered AS (
