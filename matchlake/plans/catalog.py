@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.operators.incremental import refuse_duplicates, unique_updates, upsert
@@ -126,7 +127,11 @@ class Catalog:
             updates = unique_updates(partitions.stage(df, path, "updates"), keys, on_duplicate)
             target = self.table(name)
             # An update may move a row to another date; its old partition is touched too.
-            moved = target.select(*keys, column).join(updates.select(*keys), keys, "left_semi")
+            # Ids grow with time, so their range lets the scan skip most old files.
+            first = F.col(keys[0])
+            low, high = updates.agg(F.min(first), F.max(first)).first()
+            near = target.filter(first.between(F.lit(low), F.lit(high))).select(*keys, column)
+            moved = near.join(updates.select(*keys), keys, "left_semi")
             dates = partitions.partition_values(moved.select(column).union(updates.select(column)), column)
             merged = upsert(target.filter(partitions.touched(column, dates)), updates, keys, "checked")
             partitions.replace_partitions(merged, path, column, dates)

@@ -42,12 +42,14 @@ class LedgerTable:
             if n > start or (n == start and kind == "full")
         ]
 
-    def current(self, before: int | None = None) -> DataFrame | None:
-        """The ledger, optionally as it was before a batch."""
+    def current(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame | None:
+        """The ledger, optionally as it was before a batch, or of some ids only."""
         folders = self._folders(before)
         if not folders:
             return None
         parts = self.spark.read.schema(VERSIONED).parquet(*folders)
+        if ids is not None:  # ahead of the shuffle that finds the newest documents
+            parts = parts.join(ids, "match_id", "left_semi")
         return top_per_group(parts, ["match_id"], [F.col("version").desc()]).drop("version")
 
     def write(self, documents: DataFrame, number: int, kind: str = "batch") -> None:
@@ -72,9 +74,7 @@ def stream_ledger(
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        ids = batch.select("match_id").distinct()
-        before = table.current(before=number)
-        prior = None if before is None else before.join(ids, "match_id", "left_semi")
+        prior = table.current(before=number, ids=batch.select("match_id").distinct())
         table.write(fold_ledger(batch, prior, max_retries, max_dlq, slice_events), number)
         if compact_every and number % compact_every == compact_every - 1:
             table.write(table.current(before=number + 1), number, "full")

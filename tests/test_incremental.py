@@ -81,6 +81,12 @@ def test_loading_again_changes_nothing(spark, catalog):
     assert content(load(catalog, df)) == first
 
 
+def test_updates_without_keys_only_add_rows(spark, catalog):
+    load(catalog, rows(spark, ("a", 1, D[0])))
+    got = load(catalog, rows(spark, (None, 2, D[0]), (None, 3, D[1])))
+    assert content(got) == sorted([("a", 1, D[0]), (None, 2, D[0]), (None, 3, D[1])], key=str)
+
+
 def test_full_refresh_replaces_all(spark, catalog):
     load(catalog, rows(spark, ("a", 1, D[0]), ("b", 2, D[1])))
     assert content(load(catalog, rows(spark, ("z", 0, D[1])), full_refresh=True)) == [("z", 0, D[1])]

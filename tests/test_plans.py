@@ -61,6 +61,18 @@ def test_hot_groups_are_cut_before_the_shuffle(stored):
     assert re.search(r"Exchange hashpartitioning.*?WindowGroupLimit .*?Partial", text, re.S)
 
 
+def test_a_ledger_batch_reads_its_own_ids_only(spark, tmp_path):
+    from matchlake.operators.ledger import fold_ledger
+    from matchlake.streaming.ledger import LedgerTable
+
+    table = LedgerTable(spark, str(tmp_path))
+    events = fx.ledger_events(fx.Tables(spark, "/root/testdata/sf0.001"))
+    table.write(fold_ledger(events), 0)
+    ids = spark.createDataFrame([("1_2024-01-01",)], "match_id string")
+    text = plan(table.current(ids=ids))
+    assert text.index("Window") < text.index("LeftSemi")  # the join lies below the window
+
+
 STORING = {"upsert_table", "bronze_round_trip", "medallion_refresh", "incremental_refresh", "stream_ledger", "fold_ledger_sliced"}
 
 
