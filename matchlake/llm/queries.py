@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, quality_rules, sharding
+from matchlake.llm import jaccard, mixing, quality_rules, sharding
 from matchlake.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicate_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -37,5 +41,6 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_quality_rules": op4_quality_rules,
+    "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
 }
