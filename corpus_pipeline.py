@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality rules first; further stages follow."""
+"""Corpus pipeline: quality rules, near duplicates, decontamination, mixing, shards."""
 
 from __future__ import annotations
 
@@ -7,22 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.llm.common import Scratch, read
+from matchlake.llm.decontam import decontaminate
+from matchlake.llm.jaccard import keep_one
+from matchlake.llm.mixing import mix
 from matchlake.llm.quality_rules import filter_quality
 from matchlake.llm.sharding import assign_shards
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the certified cutoffs."""
     return filter_quality(docs, read(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat no benchmark item."""
+    return decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; repeated rows are further copies."""
+    return mix(docs)
+
+
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return assign_shards(docs)
+    """The shard and slot of every row, as op2 gives them; the texts aren't moved."""
+    return assign_shards(docs, carry=["doc_id"])
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality), ("sharding", sharding)]
-#: SQL has no crc32 and can't replay the stages.
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
+]
+#: SQL can't express the latent search or the sampling; tests/llm checks each stage by itself.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import jaccard, mixing, quality_rules, sharding
+from matchlake.llm import decontam, jaccard, mixing, quality_rules, sharding
 from matchlake.llm.common import read
 
 
@@ -30,6 +30,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -41,6 +46,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_quality_rules": op4_quality_rules,
+    "op6_decontamination": op6_decontamination,
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
 }
