@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import decontam, jaccard, mixing, quality_rules, sharding
+from matchlake.llm import decontam, jaccard, mixing, pii, quality_rules, sharding
 from matchlake.llm.common import read
 
 
@@ -43,10 +43,25 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [
+        F.expr(f"cast(size(filter(base, x -> x.kind = {i})) AS long)").alias(f"n_{kind}")
+        for i, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.expr(pii.spans_text("base")), 256).alias("base_sha256"),
+        F.expr(pii.spans_text("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
+    "op10_pii": op10_pii,
 }
