@@ -28,7 +28,7 @@ from matchlake.llm.common import Scratch, bounded, pack, replace_columns
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-UNITS_PER_BLOCK = 50_000
+UNITS_PER_BLOCK = 2_000
 #: Units left for the landing problem beside the two that the flight can't settle.
 LANDING = 10
 EDGE = 1e-9
