@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import decontam, jaccard, mixing, pii, quality_rules, sharding
+from matchlake.llm import chat, decontam, jaccard, mixing, pii, quality_rules, sharding, tokens
 from matchlake.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     verdicts = quality_rules.quality_verdicts(docs, read(spark, sf_dir, "labels"))
@@ -35,6 +39,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_table(chat.with_control_case(read(spark, sf_dir, "conversations")))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -59,8 +67,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op7_chat": op7_chat,
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
