@@ -6,13 +6,13 @@ import atexit
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ``[^\x20\x09-\x0D]+`` is a word in every operator of this package.
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: A frame of at most this many rows, counted first, may be broadcast.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 500_000
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -90,3 +90,30 @@ def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def number_rows(
+    frame: DataFrame, order: list, scratch: Scratch, name: str, rows_per_block: int = 200_000
+) -> DataFrame:
+    """``frame`` with ``_index``, the place of each row in the whole order, from 0.
+
+    Ranges of the order are numbered by themselves and moved by the rows of the ranges before.
+    Rows that the order leaves alike are told apart by their place in the input.
+    """
+    spark = frame.sparkSession
+    named = [x if isinstance(x, Column) else F.col(x) for x in order]
+    blocks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-frame.count() // rows_per_block)
+    )
+    dealt = frame.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(blocks, *named, "_at")
+    placed = scratch.save(dealt.withColumn("_block", F.spark_partition_id()), name)
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("_block")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row0"))
+    )
+    inside = Window.partitionBy("_block").orderBy(*named, "_at")
+    # one row per block: rows / rows_per_block of them
+    numbered = placed.withColumn("_n", F.row_number().over(inside)).join(F.broadcast(starts), "_block")
+    return numbered.withColumn("_index", F.col("_row0") + F.col("_n") - 1).drop("_n", "_row0", "_block", "_at")

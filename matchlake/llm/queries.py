@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import chat, decontam, jaccard, mixing, pii, quality_rules, sharding, tokens
+from matchlake.llm import chat, decontam, importance, jaccard, mixing, pii, quality_rules, sharding, tokens, urls
 from matchlake.llm.common import read
 
 
+def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, read(spark, sf_dir, "labels"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     # carries the id alone: the sums are made while the text is read
@@ -34,6 +39,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filter_urls(pages, carry=["page_id"]).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.leaks(docs, read(spark, sf_dir, "benchmark"))
@@ -66,9 +76,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_importance": op1_importance,
     "op2_sharding": op2_sharding,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
+    "op5_urls": op5_urls,
     "op6_decontamination": op6_decontamination,
     "op7_chat": op7_chat,
     "op8_jaccard": op8_jaccard,
