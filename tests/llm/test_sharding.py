@@ -1,0 +1,57 @@
+import zlib
+
+import odd
+import pytest
+
+from matchlake.llm import sharding
+from matchlake.llm.queries import QUERIES
+
+
+def _expected(rows, n_shards):
+    """Plain version: order, prefix sums, equal cuts at the middle of each row."""
+    sized = sorted((i is not None, i or 0, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows)
+    total, before, slots, out = sum(x[2] for x in sized), 0, {}, []
+    for known, i, size, crc in sized:
+        shard = min(n_shards - 1, (2 * before + size) * n_shards // (2 * total))
+        slots[shard] = slots.get(shard, -1) + 1
+        out.append((i if known else None, size, crc, shard, slots[shard]))
+        before += size
+    return sorted(out, key=str)
+
+
+def _got(frame):
+    return sorted(((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in frame.collect()), key=str)
+
+
+def test_query_against_plain_version(spark, small):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    found = QUERIES["op2_sharding"](spark, small)
+    assert _got(found) == _expected(rows, 24)
+    assert {(r.law, r.grown_shard) for r in found.collect()} == {("bytes", None)}
+
+
+@pytest.mark.parametrize("per_block", [1, 3, 1000])
+def test_odd_rows(spark, per_block):
+    docs = odd.docs(spark)
+    found = sharding.assign_shards(docs, 4, rows_per_block=per_block)
+    assert _got(found) == _expected([(r.doc_id, r.text) for r in docs.collect()], 4)
+    # the text is carried; of clashing names the result's column stays
+    assert found.columns.count("size") == 1 and found.schema["size"].dataType.simpleString() == "bigint"
+    assert {"text", "kept", "_index"} <= set(found.columns)
+
+
+def test_empty_table(spark):
+    assert sharding.assign_shards(odd.no_docs(spark), 4).count() == 0
+
+
+def test_no_python_in_the_plan(spark, small):
+    plan = QUERIES["op2_sharding"](spark, small)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_written_shards_keep_slot_order(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    sharding.write_shards(sharding.assign_shards(docs, 3), str(tmp_path / "shards"))
+    again = spark.read.parquet(str(tmp_path / "shards"))
+    assert again.count() == docs.count()
+    assert sorted(p.name for p in (tmp_path / "shards").glob("shard=*")) == ["shard=0", "shard=1", "shard=2"]
