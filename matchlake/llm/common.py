@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: A frame of at most this many rows, counted first, may be broadcast.
 BROADCAST_ROWS = 500_000
+#: Rows of a few numbers that one task writes.
+ROWS_PER_FILE = 200_000
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -39,8 +41,11 @@ class Scratch:
         self.folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         atexit.register(self._remove, self.folder)
 
-    def save(self, frame: DataFrame, name: str) -> DataFrame:
+    def save(self, frame: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write and read again. ``rows``, an upper bound known by counting, keeps files few."""
         path = f"{self.folder}/{name}"
+        if rows is not None:
+            frame = frame.coalesce(rows // ROWS_PER_FILE + 1)
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 

@@ -44,6 +44,7 @@ VERIFY_COST = 20
 #: Star rounds go on while the finish would look at more than so many pairs per posting.
 PAIRS_PER_POSTING = 20
 STAR_ROUNDS = 6
+STAR_PIVOTS = 4
 
 
 def _digest(shingles: np.ndarray) -> tuple[int | None, int | None]:
@@ -150,7 +151,11 @@ def _survivors(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
 
 
 def _postings(sets: DataFrame, percent: int, max_level: int) -> DataFrame:
-    """Rarest-first prefixes, each as long as its class found best: token, node, n, level, k."""
+    """Rarest-first prefixes, each as long as its class found best.
+
+    token, node, n, held (shingles that other classes have), at (place of the token among
+    them), level (prefix that the token enters with), k.
+    """
     flat = sets.select("node", "n", F.explode("shingles").alias("token"))
     common = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = (
@@ -169,8 +174,8 @@ def _postings(sets: DataFrame, percent: int, max_level: int) -> DataFrame:
         costs.append(f"struct({reads} * (1 + {VERIFY_COST}D / {k}) AS cost, {k} AS k)")
     chosen = ranked.withColumn("k", F.expr(f"least(array_min(array({', '.join(costs)})).k, int(need))"))
     return chosen.select(
-        "node", "n", "k", F.posexplode(F.expr("slice(held, 1, least(base + k - 1, size(held)))")).alias("at", "x"), "base"
-    ).select(F.col("x.token").alias("token"), "node", "n", F.expr("greatest(1, at + 2 - base)").alias("level"), "k")
+        "node", "n", "k", F.size("held").alias("held"), F.posexplode(F.expr("slice(held, 1, least(base + k - 1, size(held)))")).alias("at", "x"), "base"
+    ).select(F.col("x.token").alias("token"), "node", "n", "held", "at", F.expr("greatest(1, at + 2 - base)").alias("level"), "k")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,8 +188,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * same.cast("long") >= percent * total.cast("long")).select("a", "b")
 
 
-def _similar_sizes(n: str, m: str, percent: int):
-    return F.expr(f"100 * {n} >= {percent} * {m} AND 100 * {m} >= {percent} * {n}")
+def _may_link(x: str, y: str, percent: int):
+    """Whether two classes that meet at a shingle can be similar: by their sizes, and by place.
+
+    Common shingles lie before the one they meet at on both sides, or behind it on both sides, and
+    the overlap has to be at least ``percent / (100 + percent)`` of both sizes together.
+    """
+    sizes = f"100 * n{x} >= {percent} * n{y} AND 100 * n{y} >= {percent} * n{x}"
+    most = f"least(at{x}, at{y}) + least(held{x} - at{x}, held{y} - at{y})"
+    return F.expr(f"{sizes} AND {100 + percent} * ({most}) >= {percent} * (n{x} + n{y})")
 
 
 def merge_components(labels: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -192,18 +204,18 @@ def merge_components(labels: DataFrame, links: DataFrame, scratch: Scratch, name
 
     Every component hooks onto the smallest one it is linked with, chains are shortened by
     pointer jumping, and both repeat on the contracted graph until no link is left between
-    two components. Only components that take part in a link are worked on.
+    two components. Only components that take part in a link are worked on, at most two per link.
     """
-    step = 0
+    step, n = 0, links.count()
     a, b = labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), labels.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
     edges = links.join(a, "a").join(b, "b").where("ca <> cb").select("ca", "cb").distinct()
-    edges = scratch.save(edges, f"{name}-edges{step}")
+    edges = scratch.save(edges, f"{name}-edges{step}", 2 * n)
     changed: DataFrame | None = None
     while not edges.isEmpty():
         step += 1
         both = edges.union(edges.select("cb", "ca"))
         parents = both.groupBy(F.col("ca").alias("comp")).agg(F.min("cb").alias("up"))
-        parents = scratch.save(parents.withColumn("up", F.least("comp", "up")), f"{name}-up{step}-0")
+        parents = scratch.save(parents.withColumn("up", F.least("comp", "up")), f"{name}-up{step}-0", 2 * n)
         jump = 0
         while True:
             above = parents.select(F.col("comp").alias("_c"), F.col("up").alias("_up"))
@@ -211,6 +223,7 @@ def merge_components(labels: DataFrame, links: DataFrame, scratch: Scratch, name
             moved = scratch.save(
                 parents.join(above, F.col("up") == F.col("_c")).select("comp", F.col("_up").alias("up"), (F.col("up") != F.col("_up")).alias("moved")),
                 f"{name}-up{step}-{jump}",
+                2 * n,
             )
             parents = moved.select("comp", "up")
             if not moved.where("moved").limit(1).count():
@@ -221,70 +234,85 @@ def merge_components(labels: DataFrame, links: DataFrame, scratch: Scratch, name
             new = parents.select(F.col("comp").alias("_c"), F.col("up").alias("_up"))
             older = changed.join(new, F.col("up") == F.col("_c"), "left").select("comp", F.coalesce("_up", "up").alias("up"))
             changed = older
-        changed = scratch.save(changed, f"{name}-changed{step}")
+        changed = scratch.save(changed, f"{name}-changed{step}", 2 * n)
         x = parents.select(F.col("comp").alias("ca"), F.col("up").alias("ua"))
         y = parents.select(F.col("comp").alias("cb"), F.col("up").alias("ub"))
         edges = edges.join(x, "ca").join(y, "cb").where("ua <> ub").select(F.col("ua").alias("ca"), F.col("ub").alias("cb")).distinct()
-        edges = scratch.save(edges, f"{name}-edges{step}")
+        edges = scratch.save(edges, f"{name}-edges{step}", 2 * n)
     if changed is None:
         return labels
     merged = labels.join(changed.withColumnRenamed("comp", "_c"), F.col("comp") == F.col("_c"), "left")
     return scratch.save(merged.select("node", F.coalesce("up", "comp").alias("comp")), f"{name}-labels")
 
 
-def _star_pairs(postings: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each class with up to two pivots of its shingles, those that share most with it."""
-    placed = postings.join(labels, "node")
-    mark = F.xxhash64("comp" if turn else "node", F.lit(turn))
-    pivots = placed.groupBy("token").agg(F.min(F.struct(mark.alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias("p"))
+def _side(postings: DataFrame, x: str) -> DataFrame:
+    names = {"node": f"node{x}", "n": f"n{x}", "held": f"held{x}", "at": f"at{x}", "level": f"level{x}", "k": f"k{x}", "comp": f"comp{x}"}
+    return postings.withColumnsRenamed(names)
+
+
+def _star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each class with up to ``STAR_PIVOTS`` pivots of its shingles, those that share most with it.
+
+    The pivot of a shingle is any of the classes that have it, another one in each turn.
+    """
+    mark = F.xxhash64("node", "token", F.lit(turn)).alias("mark")
+    one = F.min(F.struct(mark, *[F.col(x) for x in ("node", "n", "held", "at", "comp")]))
+    pivots = placed.groupBy("token").agg(one.alias("p")).select("token", "p.*").drop("mark")
     met = (
-        placed.join(pivots.select("token", "p.*"), "token")
-        .where("comp <> cb")
-        .where(_similar_sizes("n", "m", percent))
-        .groupBy(F.col("node").alias("a"), "b")
+        _side(placed, "_x")
+        .join(_side(pivots, "_y"), "token")
+        .where("comp_x <> comp_y")
+        .where(_may_link("_x", "_y", percent))
+        .groupBy(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
         .agg(F.count(F.lit(1)).alias("hits"))
     )
     best = Window.partitionBy("a").orderBy(F.desc("hits"), "b")
-    return met.withColumn("_r", F.row_number().over(best)).where("_r <= 2").select("a", "b")
+    return met.withColumn("_r", F.row_number().over(best)).where(f"_r <= {STAR_PIVOTS}").select("a", "b")
 
 
-def _cross(postings: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, int, int]:
+def _cross(placed: DataFrame, scratch: Scratch, name: str, n: int) -> tuple[DataFrame, int]:
     """Postings of shingles that several components share, marked ``stray`` outside the largest.
 
-    Also the number of pairs that the strays meet, and of postings.
+    Also the number of pairs that the strays meet.
     """
-    placed = scratch.save(postings.join(labels, "node"), f"{name}-placed")
     groups = placed.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     tokens = groups.groupBy("token").agg(
         F.max(F.struct("c", "comp")).alias("main"), F.sum("c").alias("df"), F.count(F.lit(1)).alias("comps")
     ).where("comps > 1")
-    tokens = scratch.save(tokens.select("token", F.col("main.comp").alias("main"), "df", F.expr("df - main.c").alias("strays")), f"{name}-tokens")
+    tokens = scratch.save(tokens.select("token", F.col("main.comp").alias("main"), "df", F.expr("df - main.c").alias("strays")), f"{name}-tokens", n)
     pairs = tokens.agg(F.sum(F.expr("strays * df"))).first()[0] or 0
-    found = scratch.save(placed.join(tokens.select("token", "main"), "token").withColumn("stray", F.expr("comp <> main")), f"{name}-cross")
-    return found, int(pairs), placed.count()
+    return placed.join(tokens.select("token", "main"), "token").withColumn("stray", F.expr("comp <> main")).drop("main"), int(pairs)
 
 
 def _finish_pairs(cross: DataFrame, percent: int) -> DataFrame:
     """All pairs between components that share as many prefix shingles as their levels ask for."""
-    left = cross.where("stray").select("token", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("level").alias("la"), F.col("k").alias("ka"))
-    right = cross.select("token", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("level").alias("lb"), F.col("k").alias("kb"), "stray")
-    met = left.join(right, "token").where("ca <> cb AND (NOT stray OR a < b)").where(_similar_sizes("na", "nb", percent))
-    met = met.where("greatest(la, lb) <= least(ka, kb)")
-    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    return met.select(*pair, F.least("ka", "kb").alias("k")).groupBy("a", "b", "k").count().where("count >= k").select("a", "b")
+    left, right = _side(cross.where("stray").drop("stray"), "_x"), _side(cross, "_y")
+    met = (
+        left.join(right, "token")
+        .where("comp_x <> comp_y AND (NOT stray OR node_x < node_y)")
+        .where("greatest(level_x, level_y) <= least(k_x, k_y)")
+        .where(_may_link("_x", "_y", percent))
+    )
+    pair = [F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")]
+    return met.groupBy(*pair, F.least("k_x", "k_y").alias("k")).count().where("count >= k").select("a", "b")
 
 
 def link_classes(sets: DataFrame, scratch: Scratch, percent: int = PERCENT, max_level: int = MAX_LEVEL) -> DataFrame:
     """(node, comp) of the classes in ``sets`` (node, n, shingles) that have partners."""
     postings = scratch.save(_postings(sets, percent, max_level), "postings")
-    labels = scratch.save(postings.select("node").distinct().withColumn("comp", F.col("node")), "labels")
-    for turn in range(STAR_ROUNDS):
-        pairs = scratch.save(_star_pairs(postings, labels, turn, percent), f"star{turn}")
-        links = scratch.save(_verified(pairs, sets, percent), f"star{turn}-links")
-        labels = merge_components(labels, links, scratch, f"star{turn}")
-        cross, pairs_left, n = _cross(postings, labels, scratch, f"cross{turn}")
-        if pairs_left <= PAIRS_PER_POSTING * n:
+    n, nodes = postings.count(), sets.count()
+    labels = scratch.save(postings.select("node").distinct().withColumn("comp", F.col("node")), "labels", nodes)
+    done = False
+    for turn in range(STAR_ROUNDS + 1):
+        placed = scratch.save(postings.join(labels, "node"), f"placed{turn}", n)
+        cross, left = _cross(placed, scratch, f"cross{turn}", n)
+        if done or turn == STAR_ROUNDS or left <= PAIRS_PER_POSTING * n:
             break
+        pairs = scratch.save(_star_pairs(placed, turn, percent), f"star{turn}", STAR_PIVOTS * nodes)
+        links = scratch.save(_verified(pairs, sets, percent), f"star{turn}-links", STAR_PIVOTS * nodes)
+        labels = merge_components(labels, links, scratch, f"star{turn}")
+        # where few of the comparisons join anything, further ones hardly would
+        done = links.count() * 5 < pairs.count()
     pairs = scratch.save(_finish_pairs(cross, percent), "finish")
     links = scratch.save(_verified(pairs, sets, percent), "finish-links")
     return merge_components(labels, links, scratch, "finish")

@@ -3,8 +3,9 @@
 High-recall generators propose overlapping spans of the four kinds in forms that the base
 patterns miss (spelled-out addresses, other separators, national numbers). Boosted trees (Spark
 ML) score each by features of its format and context. They learn from the table itself: positives are
-the base spans and rewritten forms of them in their own context, negatives are proposals apart from any
-base span and damaged copies of base spans. A held-out part, which the trees never see, sets
+the base spans and rewritten forms of them in their own context, negatives are proposals that can't
+be valid (a wrong check digit, a part over 255) and damaged copies of base spans. Proposals that might be
+valid have no label and are only scored. A held-out part, which the trees never see, sets
 a threshold for each kind: the lowest score at which at most ``max_false`` of the held-out negatives
 pass. Without enough held-out negatives a kind adds nothing.
 """
@@ -144,6 +145,19 @@ def proposals(text: str) -> Iterator[tuple[int, int, int]]:
                 yield kind, m.start(), m.end()
 
 
+def plausible(kind: int, span: str) -> bool:
+    """Whether the proposal, read without its separators, could be valid."""
+    groups = _GROUP.findall(span)
+    digits = "".join(groups)
+    if kind == 0:
+        return bool(re.search(r"[^\W\d_]{2,}$", span))
+    if kind == 1:
+        return len(groups) == 4 and all(int(g) <= 255 for g in groups)
+    if kind == 2:
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 8 <= len(digits) <= 15
+
+
 def _rewritten(kind: int, span: str, rng: random.Random) -> str:
     """A form of a base span that people write too."""
     if kind == 0:
@@ -183,7 +197,7 @@ _SCAN = f"doc_id long, base array<{_SPAN}>, cases array<{_CASE}>"
 
 
 def _scan_text(text: str) -> tuple[list[dict], list[dict]]:
-    """Base spans, and the cases: proposals (label -1, or 0 if also a negative) and training rows."""
+    """Base spans, and the cases: label 0 for open proposals, 1 for positives, 2 for negatives."""
     base = base_spans(text)
     cases = []
 
@@ -195,7 +209,7 @@ def _scan_text(text: str) -> tuple[list[dict], list[dict]]:
     starts = [a for a, _ in taken]
     for kind, start, stop in proposals(text):
         if not _overlaps(taken, starts, start, stop):
-            case(kind, start, stop, 0, text[start:stop])
+            case(kind, start, stop, 0 if plausible(kind, text[start:stop]) else 2, text[start:stop])
     for kind, start, stop in base:
         rng = random.Random(zlib.crc32(text[start:stop].encode()) * 31 + start)
         span = text[start:stop]
@@ -230,8 +244,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _added(cases: DataFrame, scratch: Scratch, max_false: float, train_rows: int, seed: int) -> DataFrame | None:
     """(_at, kind, start, stop, score) of the proposals above the threshold of their kind."""
     marked = cases.withColumn("hash", F.xxhash64("kind", "start", "stop", "features", F.lit(seed)))
-    # labels: 0 a proposal apart from base spans, 1 positive, 2 damaged; 0 and 2 are negatives
-    known = marked.select("kind", "features", (F.col("label") == 1).cast("double").alias("y"), "hash")
+    known = marked.where("label > 0").select("kind", "features", (F.col("label") == 1).cast("double").alias("y"), "hash")
     held = F.pmod(F.shiftright("hash", 20), F.lit(3)) == 0
     sizes = {r.y: r.n for r in known.where(~held).groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
