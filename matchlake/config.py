@@ -5,8 +5,6 @@ Everything here can be overridden by a parameter of the function that uses it.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # --- fixed values: these have to be exactly so for the results to agree ----------
@@ -58,9 +56,6 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Lists are gathered per player or per batch, so groups are many and tiny; the
-    # default of 128 groups per task would send every such aggregate to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
@@ -72,19 +67,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints and staged tables that every executor can reach.
+    """Folder for staged tables that every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session, where the
-    driver is the one executor, may fall back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``; where that is unset it lies below the
+    warehouse folder, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not folder:
-        folder = context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="matchlake-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return folder.rstrip("/")

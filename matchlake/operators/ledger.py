@@ -19,21 +19,27 @@ from pyspark.sql import functions as F
 
 from matchlake import config
 from matchlake.functions import batch_label, truncate_error
+from matchlake.sources import scratch
 
 EVENT = "struct<event_time:timestamp,seq:bigint,kind:string,message:string>"
 DOCUMENT = ["status", "created_at", "retries", "last_error", "updated_at", "processed_at", "dlq_attempts", "requeue"]
+#: What a stretch of events does to a document. NULL fields stay as they were, or are empty
+#: after ``replaced``. ``tries`` and ``dead`` are added to the counters of before, unless
+#: ``tries_reset`` or ``replaced``. ``retried`` and ``revived`` say that the document shows these
+#: counters, ``gave_up`` that its error text is made of the number of dead letters.
 STATE = (
-    "struct<status:string,created_at:timestamp,retries:bigint,last_error:string,updated_at:timestamp,"
-    "processed_at:timestamp,dlq_attempts:bigint,requeue:boolean,replaced:boolean,tries:bigint,dead:bigint>"
+    "struct<status:string,created_at:timestamp,last_error:string,updated_at:timestamp,"
+    "processed_at:timestamp,requeue:boolean,replaced:boolean,tries:bigint,dead:bigint,"
+    "tries_reset:boolean,retried:boolean,revived:boolean,gave_up:boolean>"
 )
-FIELDS = [*DOCUMENT, "replaced", "tries", "dead"]
 TYPES = dict(part.split(":") for part in STATE.removeprefix("struct<").removesuffix(">").split(","))
+FIELDS = list(TYPES)
+LAID_OVER = ["status", "created_at", "last_error", "updated_at", "processed_at", "requeue", "retried", "revived", "gave_up"]
 
-# Keys with more events than this are folded in slices instead of at once.
-SLICE_EVENTS = 100_000
-MAX_SLICES = 20_000
-# The list of such ids is broadcast: some tens of megabytes at most.
-MAX_HOT_IDS = 500_000
+#: Events of one id that are folded at once, at most; the rest goes to further slices.
+SLICE_EVENTS = 20_000
+#: Slices of one id that are chained at once; more of them are chained in blocks.
+BLOCK = 256
 
 
 def recoverable(kind: Column, message: Column) -> Column:
@@ -50,9 +56,9 @@ def _state(**values: Column) -> Column:
     )
 
 
-def _seed(status: Column, tries: Column, dead: Column) -> Column:
-    """State before a stretch of events. A NULL field means: as it was before."""
-    return _state(status=status, replaced=F.lit(False), tries=tries, dead=dead)
+def _seed(status: str | None, tries: int, dead: int) -> Column:
+    """A control state: all that a stretch of events has to know of its start."""
+    return _state(status=F.lit(status), tries=F.lit(tries), dead=F.lit(dead), replaced=F.lit(False), tries_reset=F.lit(False))
 
 
 def _apply(max_retries: int, max_dlq: int):
@@ -68,11 +74,12 @@ def _apply(max_retries: int, max_dlq: int):
         fresh = _state(
             status=F.lit(config.STATUS_PENDING),
             created_at=now,
-            retries=F.lit(0),
             requeue=F.lit(False),
             replaced=F.lit(True),
             tries=F.lit(0),
             dead=F.lit(0),
+            tries_reset=F.lit(True),
+            retried=F.lit(True),
         )
         fetched = changed(
             s, status=F.lit(config.STATUS_SUCCESS), processed_at=now, requeue=F.lit(False)
@@ -83,28 +90,31 @@ def _apply(max_retries: int, max_dlq: int):
         failed = changed(
             s,
             status=F.when(spent, config.STATUS_ABANDONED).otherwise(config.STATUS_ERROR),
-            retries=tries,
             tries=tries,
+            retried=F.lit(True),
             last_error=truncate_error(text),
+            gave_up=F.lit(False),
             updated_at=now,
             requeue=~spent & recoverable(kind, e["message"]),
         )
-        before, after = config.DEAD_LETTER_GIVE_UP_MESSAGE.split("{}")
         given_up = changed(
             s,
             status=F.lit(config.STATUS_ABANDONED),
-            last_error=F.concat(F.lit(before), s["dead"].cast("string"), F.lit(after)),
+            last_error=F.lit(""),
+            gave_up=F.lit(True),
             updated_at=now,
             requeue=F.lit(False),
         )
         revived = changed(
             s,
             status=F.lit(config.STATUS_ERROR),
-            retries=F.lit(0),
             tries=F.lit(0),
-            dlq_attempts=s["dead"] + 1,
+            tries_reset=F.lit(True),
+            retried=F.lit(True),
             dead=s["dead"] + 1,
+            revived=F.lit(True),
             last_error=F.lit(config.DEAD_LETTER_RETRY_MESSAGE),
+            gave_up=F.lit(False),
             updated_at=now,
             requeue=F.lit(True),
         )
@@ -120,21 +130,20 @@ def _apply(max_retries: int, max_dlq: int):
 
 
 def _merge(s: Column, d: Column) -> Column:
-    """The document after a stretch whose outcome is ``d``."""
+    """What two stretches in a row do. A document is a stretch too, so it also merges."""
+    laid = {name: F.when(d["replaced"], d[name]).otherwise(F.coalesce(d[name], s[name])) for name in LAID_OVER}
     return _state(
-        **{
-            name: F.when(d["replaced"], d[name]).otherwise(F.coalesce(d[name], s[name]))
-            for name in DOCUMENT
-        },
-        replaced=F.lit(False),
-        tries=d["tries"],
-        dead=d["dead"],
+        **laid,
+        replaced=s["replaced"] | d["replaced"],
+        tries=F.when(d["tries_reset"], d["tries"]).otherwise(s["tries"] + d["tries"]),
+        tries_reset=s["tries_reset"] | d["tries_reset"],
+        dead=F.when(d["replaced"], d["dead"]).otherwise(s["dead"] + d["dead"]),
     )
 
 
-def _events(df: DataFrame) -> DataFrame:
+def _events(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(
-        "match_id",
+        *keys,
         F.struct("event_time", "seq", "kind", truncate_error(F.col("message")).alias("message"))
         .cast(EVENT)
         .alias("event"),
@@ -143,25 +152,37 @@ def _events(df: DataFrame) -> DataFrame:
 
 def _with_prior(df: DataFrame, prior: DataFrame | None) -> DataFrame:
     """Add the column ``before``: the document of the id as a state."""
+    nothing = _state(tries=F.lit(0), dead=F.lit(0), replaced=F.lit(False), tries_reset=F.lit(False))
     if prior is None:
-        return df.withColumn("before", _state(tries=F.lit(0), dead=F.lit(0), replaced=F.lit(False)))
-    document = {name: F.col(name) for name in DOCUMENT if name in prior.columns}
+        return df.withColumn("before", nothing)
+    same = ["status", "created_at", "last_error", "updated_at", "processed_at", "requeue"]
+    counters = {name: F.col(name) if name in prior.columns else F.lit(None) for name in ("retries", "dlq_attempts")}
     known = prior.select(
         "match_id",
         _state(
-            **document,
+            **{name: F.col(name) for name in same if name in prior.columns},
             replaced=F.lit(False),
-            tries=F.coalesce("retries", F.lit(0)),
-            dead=F.coalesce("dlq_attempts", F.lit(0)),
+            tries_reset=F.lit(False),
+            tries=F.coalesce(counters["retries"], F.lit(0)),
+            retried=F.when(counters["retries"].isNotNull(), F.lit(True)),
+            dead=F.coalesce(counters["dlq_attempts"], F.lit(0)),
+            revived=F.when(counters["dlq_attempts"].isNotNull(), F.lit(True)),
         ).alias("before"),
     )
-    empty = _state(tries=F.lit(0), dead=F.lit(0), replaced=F.lit(False))
-    return df.join(known, "match_id", "left").withColumn("before", F.coalesce("before", empty))
+    return df.join(known, "match_id", "left").withColumn("before", F.coalesce("before", nothing))
 
 
 def _documents(df: DataFrame, state: str) -> DataFrame:
-    fields = [F.col(f"{state}.{name}").alias(name) for name in DOCUMENT if name != "requeue"]
-    return df.select("match_id", *fields, F.coalesce(f"{state}.requeue", F.lit(False)).alias("requeue"))
+    before, after = config.DEAD_LETTER_GIVE_UP_MESSAGE.split("{}")
+    s = F.col(state)
+    text = F.concat(F.lit(before), s["dead"].cast("string"), F.lit(after))
+    fields = {
+        "retries": F.when(s["retried"], s["tries"]),
+        "dlq_attempts": F.when(s["revived"], s["dead"]),
+        "last_error": F.when(s["gave_up"], text).otherwise(s["last_error"]),
+        "requeue": F.coalesce(s["requeue"], F.lit(False)),
+    }
+    return df.select("match_id", *[fields.get(name, s[name] if name in TYPES else None).alias(name) for name in DOCUMENT])
 
 
 def fold_ledger(
@@ -170,137 +191,136 @@ def fold_ledger(
     max_retries: int = config.MAX_RETRIES,
     max_dlq: int = config.MAX_DLQ_ATTEMPTS,
     slice_events: int = SLICE_EVENTS,
-    max_slices: int = MAX_SLICES,
 ) -> DataFrame:
-    """The ledger after ``events``, starting from ``prior``.
-
-    Events of an id are folded in one go where there are few of them. Ids with more than
-    ``slice_events`` events go another way to the same result (``_fold_sliced``), so no
-    task ever gathers all events of a hot id. Finding those ids takes a count per id,
-    combined in the input tasks.
+    """The ledger after ``events``, starting from ``prior``. Events without an id count for nothing.
+
+    Events are dealt into ranges of (id, time, sequence) of about ``slice_events`` each,
+    however they are spread over ids. Ids inside one slice are folded from their document.
+    The others, at most one or two per slice, are folded slice by slice: what a slice does
+    depends on its start only through a few control states (settled as success, abandoned
+    after d dead letters, or open with r retries and d dead letters, counters mattering up to their
+    limits only), so each slice is folded from all of them, and the outcomes are chained. Counters
+    are kept relative to the start of a slice, so documents beyond the limits fold alike.
     """
     step = _apply(max_retries, max_dlq)
-    hot, hot_events = _hot_ids(events, slice_events)
-    few = events if hot is None else events.join(hot, "match_id", "left_anti")
-    folded = _fold_whole(few, prior, step)
-    if hot is not None:
-        many = events.join(hot, "match_id", "left_semi")
-        slices = min(math.ceil(hot_events / slice_events) + 1, max_slices)
-        folded = folded.unionByName(_fold_sliced(many, prior, step, slices, max_retries, max_dlq))
+    named = events.filter(F.col("match_id").isNotNull())
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(parts, math.ceil(named.count() / slice_events))
+    sliced = named.repartitionByRange(slices, "match_id", "event_time", "seq").withColumn("slice", F.spark_partition_id())
+    # Saved, so that the sampled bounds of the ranges are the same wherever they are used.
+    logs = scratch.save(
+        _events(sliced, "match_id", "slice")
+        .groupBy("match_id", "slice")
+        .agg(F.sort_array(F.collect_list("event")).alias("log")),
+        "ledger-logs",
+    )
+    spread = scratch.save(
+        logs.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"), F.min("slice").alias("first")).filter("n > 1").drop("n"),
+        "ledger-spread",
+    )
+    whole = _with_prior(logs.join(spread, "match_id", "left_anti").select("match_id", "log"), prior)
+    folded = _documents(whole.withColumn("doc", F.aggregate("log", F.col("before"), step)), "doc")
+    if not spread.isEmpty():
+        folded = folded.unionByName(_fold_spread(logs.join(spread, "match_id"), prior, step, max_retries, max_dlq))
     if prior is None:
         return folded
     # Documents without new events stay as they are.
-    idle = prior.join(events.select("match_id").distinct(), "match_id", "left_anti")
-    kept = [F.col(c) if c in prior.columns else F.lit(None).cast(TYPES[c]).alias(c) for c in DOCUMENT[:-1]]
+    idle = prior.join(named.select("match_id").distinct(), "match_id", "left_anti")
+    types = {"retries": "bigint", "dlq_attempts": "bigint", **TYPES}
+    kept = [F.col(c) if c in prior.columns else F.lit(None).cast(types[c]).alias(c) for c in DOCUMENT[:-1]]
     asked = F.coalesce("requeue", F.lit(False)) if "requeue" in prior.columns else F.lit(False)
     return folded.unionByName(idle.select("match_id", *kept, asked.alias("requeue")))
 
 
-def _hot_ids(events: DataFrame, slice_events: int) -> tuple[DataFrame | None, int]:
-    """Ids with more than ``slice_events`` events, to be broadcast, and their events.
-
-    There are MAX_HOT_IDS of them at most. Should more ids be that large, the bar goes up
-    to their mean number of events for a list that long, which fewer ids can exceed.
-    """
-    sizes = events.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.filter(F.col("n") > slice_events)
-    total = F.coalesce(F.sum("n"), F.lit(0))
-    ids, size = hot.agg(F.count(F.lit(1)), total).first()
-    if ids > MAX_HOT_IDS:
-        hot = sizes.filter(F.col("n") > max(slice_events, size // MAX_HOT_IDS))
-        ids, size = hot.agg(F.count(F.lit(1)), total).first()
-    if ids == 0:
-        return None, 0
-    config.shared_dir(events.sparkSession)
-    return F.broadcast(hot.select("match_id").checkpoint()), size
-
-
-def _fold_whole(events: DataFrame, prior: DataFrame | None, step) -> DataFrame:
-    lists = _events(events).groupBy("match_id").agg(F.sort_array(F.collect_list("event")).alias("log"))
-    folded = _with_prior(lists, prior).withColumn("doc", F.aggregate("log", F.col("before"), step))
-    return _documents(folded, "doc")
-
-
-def _fold_sliced(
-    events: DataFrame, prior: DataFrame | None, step, slices: int, max_retries: int, max_dlq: int
-) -> DataFrame:
-    """Fold ids with very many events slice by slice, all slices in parallel.
-
-    What a slice does depends on its start only through a few control states: settled as
-    success, abandoned after d dead letters, or open with r retries and d dead letters.
-    So each slice is folded from all of them, which tells the control state it ends in.
-    Chaining these per id gives the true start of every slice; a second fold from there
-    gives the fields the slice sets, and these are laid over each other in order.
-    """
-    width = max_dlq + 1
-    open_states = max_retries * width
-    success = open_states + width
-    null = F.lit(None).cast("string")
-    seeds = [_seed(null, F.lit(r), F.lit(d)) for r in range(max_retries) for d in range(width)]
-    seeds += [_seed(F.lit(config.STATUS_ABANDONED), F.lit(0), F.lit(d)) for d in range(width)]
-    seeds += [_seed(F.lit(config.STATUS_SUCCESS), F.lit(0), F.lit(0))]
+def _fold_spread(logs: DataFrame, prior: DataFrame | None, step, max_retries: int, max_dlq: int) -> DataFrame:
+    """Fold ids that lie in several slices."""
+    rows, width = max(max_retries, 1), max_dlq + 1
+    seeds = [_seed(None, r, d) for r in range(rows) for d in range(width)]
+    seeds += [_seed(config.STATUS_ABANDONED, 0, d) for d in range(width)]
+    seeds += [_seed(config.STATUS_SUCCESS, 0, 0)]
 
     def control(s: Column) -> Column:
+        """Number of the seed that acts like the state."""
         dead = F.least(s["dead"], F.lit(max_dlq))
         return (
-            F.when(s["status"].eqNullSafe(config.STATUS_SUCCESS), success)
-            .when(s["status"].eqNullSafe(config.STATUS_ABANDONED), open_states + dead)
-            .otherwise(F.least(s["tries"], F.lit(max_retries - 1)) * width + dead)
+            F.when(s["status"].eqNullSafe(config.STATUS_SUCCESS), (rows + 1) * width)
+            .when(s["status"].eqNullSafe(config.STATUS_ABANDONED), rows * width + dead)
+            .otherwise(F.least(s["tries"], F.lit(rows - 1)) * width + dead)
             .cast("int")
         )
 
-    # Slices are ranges of (match_id, event_time, seq): of even size however the events
-    # are spread. The checkpoint pins the sampled bounds for the two folds.
-    sliced = (
-        events.repartitionByRange(slices, "match_id", "event_time", "seq")
-        .withColumn("slice", F.spark_partition_id())
-        .select("match_id", "slice", *[c for c in events.columns if c != "match_id"])
-    )
-    config.shared_dir(events.sparkSession)
-    logs = (
-        _events(sliced.withColumn("match_id", F.struct("match_id", "slice")))
-        .groupBy("match_id")
-        .agg(F.sort_array(F.collect_list("event")).alias("log"))
-        .select("match_id.match_id", "match_id.slice", "log")
-        .checkpoint()
-    )
-    ends = F.transform(
-        F.transform(F.array(*seeds), lambda s: F.aggregate(F.col("log"), s, step)), control
+    # The slices of an id follow each other.
+    numbered = logs.select("match_id", (F.col("slice") - F.col("first")).cast("bigint").alias("pos"), "log")
+    from_all = F.transform(F.array(*seeds), lambda s: F.aggregate(F.col("log"), s, step))
+    moves = scratch.save(numbered.select("match_id", "pos", F.transform(from_all, control).alias("ends")), "ledger-moves")
+    heads = _with_prior(moves.select("match_id").distinct(), prior).select("match_id", control(F.col("before")).alias("at"))
+    starts = _chain(moves, heads, len(seeds))
+    begun = F.element_at(F.array(*seeds), F.col("at") + 1)
+    ended = numbered.join(starts, ["match_id", "pos"]).select(
+        "match_id", "pos", begun.alias("begun"), F.aggregate("log", begun, step).alias("x")
     )
-    chains = (
-        logs.select("match_id", F.struct("slice", ends.alias("ends")).alias("move"))
-        .groupBy("match_id")
-        .agg(F.sort_array(F.collect_list("move")).alias("moves"))
+    # From the counters of the seed to what was added to them. Its status is no change, but
+    # every transition decides on requeue.
+    x = F.col("x")
+    own = {name: x[name] for name in FIELDS if name not in ("status", "tries", "dead")}
+    outcome = _state(
+        **own,
+        status=F.when(x["requeue"].isNotNull(), x["status"]),
+        tries=x["tries"] - F.when(x["tries_reset"], 0).otherwise(F.col("begun.tries")),
+        dead=x["dead"] - F.when(x["replaced"], 0).otherwise(F.col("begun.dead")),
     )
-    first = F.struct(control(F.col("before")).alias("at"), F.array().cast("array<struct<slice:int,at:int>>").alias("starts"))
+    parts = ended.select("match_id", "pos", outcome.alias("outcome"))
+    nothing = _state(tries=F.lit(0), dead=F.lit(0), replaced=F.lit(False), tries_reset=F.lit(False))
+    most = moves.agg(F.max("pos")).first()[0] + 1
+    while most > 1:  # merging is associative: neighbours first, then what they came to
+        gathered = parts.groupBy("match_id", F.expr(f"pos div {BLOCK}").alias("block")).agg(
+            F.sort_array(F.collect_list(F.struct("pos", "outcome"))).alias("list")
+        )
+        merged = F.aggregate("list", nothing, lambda s, p: _merge(s, p["outcome"]))
+        parts = gathered.select("match_id", F.col("block").alias("pos"), merged.alias("outcome"))
+        most = math.ceil(most / BLOCK)
+    done = _with_prior(parts, prior).withColumn("doc", _merge(F.col("before"), F.col("outcome")))
+    return _documents(done, "doc")
+
+
+def _chain(moves: DataFrame, heads: DataFrame, states: int) -> DataFrame:
+    """(match_id, pos, at): the control state every slice starts from.
+
+    ``moves`` tells where each slice leads from any state, ``heads`` where its id begins. Blocks
+    of slices are first taken as one move each and chained the same way.
+    """
+    block = F.expr(f"pos div {BLOCK}").alias("block")
+    blocks = moves.groupBy("match_id", block).agg(F.sort_array(F.collect_list(F.struct("pos", "ends"))).alias("list"))
+    if (moves.agg(F.max("pos")).first()[0] or 0) < BLOCK:
+        entered = blocks.join(heads, "match_id")
+    else:
+        ids = F.sequence(F.lit(0), F.lit(states - 1))
+        through = F.aggregate("list", ids, lambda acc, m: F.transform(acc, lambda s: F.element_at(m["ends"], s + 1)))
+        joint = scratch.save(blocks.select("match_id", F.col("block").alias("pos"), through.alias("ends")), "ledger-moves")
+        entered = blocks.join(_chain(joint, heads, states).withColumnRenamed("pos", "block"), ["match_id", "block"])
+    empty = F.array().cast("array<struct<pos:bigint,at:int>>")
     walked = F.aggregate(
-        "moves",
-        first,
+        "list",
+        F.struct(F.col("at").alias("at"), empty.alias("starts")),
         lambda acc, m: F.struct(
             F.element_at(m["ends"], acc["at"] + 1).alias("at"),
-            F.concat(acc["starts"], F.array(F.struct(m["slice"].alias("slice"), acc["at"].alias("at")))).alias("starts"),
+            F.concat(acc["starts"], F.array(F.struct(m["pos"].cast("bigint").alias("pos"), acc["at"].alias("at")))).alias("starts"),
         ),
     )
-    starts = _with_prior(chains, prior).select("match_id", F.explode(walked["starts"]).alias("start"))
-    starts = starts.select("match_id", "start.slice", "start.at")
-    outcomes = logs.join(starts, ["match_id", "slice"]).select(
-        "match_id",
-        F.struct(
-            "slice",
-            F.aggregate("log", F.element_at(F.array(*seeds), F.col("at") + 1), step).alias("outcome"),
-        ).alias("part"),
-    )
-    parts = outcomes.groupBy("match_id").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    merged = _with_prior(parts, prior).withColumn(
-        "doc", F.aggregate("parts", F.col("before"), lambda s, p: _merge(s, p["outcome"]))
-    )
-    return _documents(merged, "doc")
+    return entered.select("match_id", F.explode(walked["starts"]).alias("s")).select("match_id", "s.pos", "s.at")
 
 
-def requeue(folded: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Ids to be fetched again, as batch number 0."""
+def requeue(folded: DataFrame, as_of: Column | None = None, touched: DataFrame | None = None) -> DataFrame:
+    """Ids to be fetched again, as batch number 0.
+
+    ``touched`` are the events of the load: documents without one keep their flag, but an
+    earlier load has asked for them already, so only ids with new events are returned.
+    """
     label = batch_label(F.current_timestamp() if as_of is None else as_of, F.lit(0))
-    return folded.filter("requeue").select(
+    asked = folded.filter("requeue")
+    if touched is not None:
+        asked = asked.join(touched.select("match_id"), "match_id", "left_semi")
+    return asked.select(
         "match_id", F.lit(0).cast("long").alias("batch_num"), label.alias("batch_id")
     )
 

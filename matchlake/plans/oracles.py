@@ -143,7 +143,7 @@ ledger AS (
   FROM orders GROUP BY 1)"""
 
 
-def _fold(order: str = "ts, event_id") -> str:
+def _fold(order: str = "ts, event_id", retries: str = "3", dead: str = "2") -> str:
     return f"""RECURSIVE ev AS (
   SELECT user_id || '_' || strftime(ts, '%Y-%m-%d') AS match_id, ts AS event_time,
     CASE event_type WHEN 'signup' THEN 'discovered' WHEN 'purchase' THEN 'fetch_ok' WHEN 'view' THEN 'dead_letter'
@@ -160,7 +160,7 @@ fold AS (
   UNION ALL
   SELECT match_id, rn,
     CASE effect WHEN 'give_up' THEN 'abandoned' WHEN 'revive' THEN 'error' WHEN 'fresh' THEN 'pending'
-      WHEN 'ok' THEN 'success' WHEN 'fail' THEN CASE WHEN coalesce(retries, 0) + 1 >= 3 THEN 'abandoned' ELSE 'error' END
+      WHEN 'ok' THEN 'success' WHEN 'fail' THEN CASE WHEN coalesce(retries, 0) + 1 >= {retries} THEN 'abandoned' ELSE 'error' END
       ELSE status END,
     CASE effect WHEN 'fresh' THEN event_time ELSE created_at END,
     CASE effect WHEN 'revive' THEN 0 WHEN 'fresh' THEN 0 WHEN 'fail' THEN coalesce(retries, 0) + 1 ELSE retries END,
@@ -169,13 +169,13 @@ fold AS (
     CASE WHEN effect = 'fresh' THEN NULL WHEN effect IN ('give_up', 'revive', 'fail') THEN event_time ELSE updated_at END,
     CASE effect WHEN 'ok' THEN event_time WHEN 'fresh' THEN NULL ELSE processed_at END,
     CASE effect WHEN 'revive' THEN coalesce(dlq_attempts, 0) + 1 WHEN 'fresh' THEN NULL ELSE dlq_attempts END,
-    CASE effect WHEN 'revive' THEN true WHEN 'fail' THEN coalesce(retries, 0) + 1 < 3 AND NOT contains(message, '401')
+    CASE effect WHEN 'revive' THEN true WHEN 'fail' THEN coalesce(retries, 0) + 1 < {retries} AND NOT contains(message, '401')
       WHEN 'none' THEN requeue ELSE false END
   FROM (
     SELECT f.match_id, ev.rn, f.status, f.created_at, f.retries, f.last_error, f.updated_at, f.processed_at,
       f.dlq_attempts, f.requeue, ev.event_time, ev.message,
       CASE WHEN ev.kind = 'dead_letter' AND f.status IS DISTINCT FROM 'success'
-          THEN CASE WHEN coalesce(f.dlq_attempts, 0) >= 2 THEN 'give_up' ELSE 'revive' END
+          THEN CASE WHEN coalesce(f.dlq_attempts, 0) >= {dead} THEN 'give_up' ELSE 'revive' END
         WHEN f.status IN ('success', 'abandoned') THEN 'none'
         WHEN ev.kind = 'discovered' THEN 'fresh' WHEN ev.kind = 'fetch_ok' THEN 'ok'
         WHEN ev.kind = 'fetch_error' THEN 'fail' ELSE 'none' END AS effect
@@ -186,6 +186,12 @@ folded AS (
 
 
 FOLD = f"WITH {_fold()} SELECT * FROM folded"
+NOON_FIRST = "hour(ts) >= 12, ts, event_id"
+LOWERED = _fold(
+    NOON_FIRST,
+    "CASE WHEN hour(event_time) < 12 THEN 6 ELSE 2 END",
+    "CASE WHEN hour(ev.event_time) < 12 THEN 5 ELSE 1 END",
+)
 
 MESSAGES = """
 batches AS (
@@ -329,6 +335,10 @@ FROM events GROUP BY 1 HAVING count(*) >= 5""",
     "fold_ledger_sliced": FOLD,
     "stream_ledger": FOLD,
     "fold_ledger_prior": f"WITH {_fold('hour(ts) >= 12, ts, event_id')} SELECT * FROM folded",
+    "fold_ledger_lowered_limits": f"WITH {LOWERED} SELECT * FROM folded",
+    "requeue_second_load": f"""WITH {_fold(NOON_FIRST)}
+SELECT match_id, 0::BIGINT AS batch_num, '20240201-0000-0' AS batch_id FROM folded
+WHERE requeue AND match_id IN (SELECT match_id FROM ev WHERE hour(event_time) >= 12)""",
     "requeue": f"""WITH {_fold()}
 SELECT match_id, 0::BIGINT AS batch_num, '20240201-0000-0' AS batch_id FROM folded WHERE requeue""",
     "ledger_status_counts": f"""WITH {_fold()}

@@ -6,7 +6,6 @@ without a zone, so that results can be compared between engines.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -21,7 +20,7 @@ from matchlake.operators.staging import stage_matches
 from matchlake.plans import fixtures as fx
 from matchlake.plans.catalog import Catalog
 from matchlake.plans.medallion import run_pipeline
-from matchlake.sources import bronze, messages
+from matchlake.sources import bronze, messages, scratch
 from matchlake.streaming.ingest import run_incremental
 from matchlake.streaming.ledger import LedgerTable, stream_ledger
 
@@ -57,7 +56,7 @@ def query(build: Callable[[fx.Tables], DataFrame]) -> Callable[[fx.Tables], Data
 
 def run_folder(t: fx.Tables, name: str) -> str:
     """A new folder in the shared space for one run of a query that stores tables."""
-    return f"{config.shared_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch.run_folder(t.spark, name)
 
 
 # --- documents to facts ----------------------------------------------------------
@@ -348,8 +347,8 @@ def fold_ledger(t):
 
 @query
 def fold_ledger_sliced(t):
-    """The same fold by the way that hot ids take, here for all ids but the smallest."""
-    return ledger.fold_ledger(fx.ledger_events(t), slice_events=4, max_slices=64)
+    """The same fold in slices of a few events, so that nearly every id lies in several."""
+    return ledger.fold_ledger(fx.ledger_events(t), slice_events=4)
 
 
 @query
@@ -360,6 +359,25 @@ def fold_ledger_prior(t):
     return ledger.fold_ledger(events.filter(~noon), ledger.fold_ledger(events.filter(noon)))
 
 
+@query
+def fold_ledger_lowered_limits(t):
+    """Documents made under high limits, folded on under low ones, in slices."""
+    events = fx.ledger_events(t)
+    noon = F.hour("event_time") < 12
+    before = ledger.fold_ledger(events.filter(noon), max_retries=6, max_dlq=5)
+    return ledger.fold_ledger(events.filter(~noon), before, max_retries=2, max_dlq=1, slice_events=3)
+
+
+@query
+def requeue_second_load(t):
+    """What the second of two loads asks for again."""
+    events = fx.ledger_events(t)
+    noon = F.hour("event_time") < 12
+    late = events.filter(~noon)
+    folded = ledger.fold_ledger(late, ledger.fold_ledger(events.filter(noon)))
+    return ledger.requeue(folded, F.lit("2024-02-01 00:00:00").cast("timestamp"), touched=late)
+
+
 @query
 def stream_ledger_query(t):
     source = (

@@ -22,7 +22,7 @@ def decode_messages(df: DataFrame, unknown: str = "UNKNOWN") -> DataFrame:
         F.coalesce("_payload.batch_id", F.lit(unknown)).alias("batch_id"),
         ids.alias("match_ids"),
         F.col("_payload.size").cast("long").alias("size"),
-        F.coalesce(F.size(ids) == 0, F.lit(True)).alias("rejected"),
+        (~F.coalesce(F.size(ids) > 0, F.lit(False))).alias("rejected"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from matchlake import config, schemas
-from matchlake.operators.ledger import SLICE_EVENTS, fold_ledger
+from matchlake.operators.ledger import SLICE_EVENTS, fold_ledger, requeue
 from matchlake.operators.ranking import top_per_group
 from matchlake.sources import files
 
@@ -52,6 +52,11 @@ class LedgerTable:
             parts = parts.join(ids, "match_id", "left_semi")
         return top_per_group(parts, ["match_id"], [F.col("version").desc()]).drop("version")
 
+    def requests(self, number: int) -> DataFrame:
+        """Ids that one micro-batch asks for again: only those it had events of."""
+        touched = self.spark.read.schema(VERSIONED).parquet(f"{self.root}/batch={number}")
+        return requeue(touched)
+
     def write(self, documents: DataFrame, number: int, kind: str = "batch") -> None:
         versioned = documents.withColumn("version", F.lit(number).cast("long"))
         versioned.write.mode("overwrite").parquet(f"{self.root}/{kind}={number}")
@@ -68,11 +73,13 @@ def stream_ledger(
 ) -> StreamingQuery:
     """Fold a stream of events into ``table``, up to the events there are at the start.
 
-    Each micro-batch folds its events onto the documents of the ids it touches. A hot id
-    is folded in slices, as in the batch fold. Within a micro-batch events apply in the
+    Each micro-batch folds its events onto the documents of the ids it touches, in slices
+    as the batch fold does; ``table.requests(N)`` has what micro-batch N asks for again. Within a micro-batch events apply in the
     order of time and sequence; between micro-batches in the order of arrival.
     """
 
+    config.configure(table.spark)
+
     def load(batch: DataFrame, number: int) -> None:
         prior = table.current(before=number, ids=batch.select("match_id").distinct())
         table.write(fold_ledger(batch, prior, max_retries, max_dlq, slice_events), number)

@@ -87,7 +87,7 @@ def random_sequences(count, longest, seed):
 @pytest.mark.parametrize("slice_events", [3, 10, 1000])
 def test_random_sequences_by_every_way(spark, slice_events):
     sequences = random_sequences(150, 30, 7)
-    got = documents(ledger.fold_ledger(events(spark, sequences), slice_events=slice_events, max_slices=40))
+    got = documents(ledger.fold_ledger(events(spark, sequences), slice_events=slice_events))
     assert got == {m: brute_force(s) for m, s in sequences.items()}
 
 
