@@ -1,0 +1,81 @@
+import math
+import random
+
+import numpy as np
+import odd
+
+from matchlake.llm import importance
+from matchlake.llm.queries import QUERIES
+
+
+def test_query(spark, small):
+    rows = QUERIES["op1_importance"](spark, small).collect()
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.collect())
+    # the kept ones are the highest scores
+    kept, gone = [r.score for r in rows if r.kept], [r.score for r in rows if not r.kept and r.score is not None]
+    assert kept and (not gone or min(kept) >= max(gone))
+
+
+def _corpus():
+    rng = random.Random(2)
+    fine = [f"fine{i}" for i in range(150)]
+    junk = [f"junk{i}" for i in range(150)]
+    both = ["the", "of", "and"]
+    docs, marks = [], []
+    for i in range(1200):
+        bad = i % 5 == 0
+        words = [rng.choice(both if rng.random() < 0.3 else junk if bad and rng.random() < 0.7 else fine) for _ in range(60)]
+        docs.append((i, " ".join(words)))
+        if i % 2:
+            marks.append((i, int(not bad), 0))
+    return docs, marks
+
+
+def test_unlabelled_junk_goes_and_good_text_stays(spark):
+    docs, marks = _corpus()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in importance.resample(frame, labels).collect() if r.kept}
+    fresh = [i for i in range(0, 1200, 2)]
+    good, bad = [i for i in fresh if i % 5], [i for i in fresh if i % 5 == 0]
+    assert sum(i in kept for i in good) >= 0.9 * len(good)
+    assert sum(i in kept for i in bad) <= 0.1 * len(bad)
+    again = {r.doc_id for r in importance.resample(frame, labels).collect() if r.kept}
+    assert kept == again
+
+
+def test_weights_against_plain_version(spark):
+    docs = [(1, "a b a"), (2, "B c"), (3, "c d e"), (4, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in importance.importance_scores(frame, labels, bits=6).collect()}
+    import pyarrow as pa
+
+    size = 64
+    grams = {i: [b for _, _, bucket in importance._buckets(pa.array([t]), 6) for b in bucket] for i, t in docs}
+    assert [len(grams[i]) for i in (1, 2, 3, 4)] == [5, 3, 5, 0]
+    raw = np.bincount(sum((list(map(int, g)) for g in grams.values()), []), minlength=size)
+    own = [i for i in (1, 2) if not got[i]._held]
+    good = np.bincount(sum((list(map(int, grams[i])) for i in own), []), minlength=size)
+    ratio = importance.log_ratios(raw.astype(float), good.astype(float))
+    for i in (1, 2, 3):
+        assert math.isclose(got[i].log_weight, sum(ratio[b] for b in grams[i]), rel_tol=1e-9, abs_tol=1e-9)
+    assert got[4].log_weight is None and got[4].score is None
+
+
+def test_a_given_share_and_gumbel_odds(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'same text' AS text")
+    rows = importance.resample(docs, odd.no_labels(spark), share=0.25).collect()
+    assert sum(r.kept for r in rows) == 1000
+    # equal weights: the sample doesn't follow the ids
+    assert 400 < sum(r.kept for r in rows if r.doc_id < 2000) < 600
+
+
+def test_odd_rows(spark):
+    docs = odd.docs(spark)
+    for labels in (odd.labels(spark), odd.no_labels(spark)):
+        rows = importance.resample(docs, labels).collect()
+        assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in docs.collect())
+        assert all(not r.kept for r in rows if r.doc_id in (1, 2, 5))
+    assert importance.resample(odd.no_docs(spark), odd.labels(spark)).count() == 0
