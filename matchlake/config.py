@@ -56,6 +56,8 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Groups are cut to their first rows before the shuffle, however many rows are wanted.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000000",
 }
 
 

@@ -130,7 +130,10 @@ def core_comp_winrate(
 
     Players without an active trait keep a NULL primary trait.
     """
-    played = core_units(units).join(primary_trait(traits), ["match_id", "puuid"], "left")
+    # Dealt once: the grouping, the window over traits and the join all keep this partitioning.
+    player = ["match_id", "puuid"]
+    boards, active = core_units(units.repartition(*player)), primary_trait(traits.repartition(*player))
+    played = boards.join(active, player, "left")
     keys = ["tft_set_number", "patch", "champions", "primary_trait"]
     champions = F.col("champions")
     names = F.transform(champions, lambda c: strip_set_prefix(c, anywhere=True))

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this rank Spark trims every map task to the group's best rows before the
-# shuffle (WindowGroupLimit); spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_LIMIT_THRESHOLD = 1000
-
 
 def top_per_group(
     df: DataFrame,
@@ -19,19 +15,11 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``k`` rows of every group by ``order``.
 
-    A hot group costs little: its rows are cut to ``k`` inside each input task, so one
-    task receives ``k`` rows per input task at most. Beyond Spark's own threshold the
-    same cut is made explicitly per input partition.
+    A hot group costs little: Spark trims every input task to the ``k`` best rows of each
+    group before the shuffle (WindowGroupLimit), for any ``k`` up to the threshold in
+    ``config.SESSION_SETTINGS``.
     """
     rank = "_rank"
-    if k > GROUP_LIMIT_THRESHOLD:
-        local = Window.partitionBy(*partition, "_slice").orderBy(*order)
-        df = (
-            df.withColumn("_slice", F.spark_partition_id())
-            .withColumn(rank, F.row_number().over(local))
-            .filter(F.col(rank) <= k)
-            .drop(rank, "_slice")
-        )
     ranked = df.withColumn(
         rank, F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
     ).filter(F.col(rank) <= k)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from matchlake import config
 from matchlake.operators.incremental import refuse_duplicates, unique_updates, upsert
 from matchlake.schemas import describe
-from matchlake.sources import files, partitions
+from matchlake.sources import files, partitions, scratch
 from matchlake.sources.bronze import read_bronze, read_matches
+from matchlake.sources.partitions import Dataset
 
 PARTITION = "ingestion_date"
 LAYERS = {
@@ -40,7 +42,7 @@ class Catalog:
         layer_schemas: dict[str, str] | None = None,
         default_schema: str = "staging",
     ):
-        self.spark = spark
+        self.spark = config.configure(spark)
         self.root = root.rstrip("/")
         self.layer_schemas = layer_schemas or {}
         self.default_schema = default_schema
@@ -55,10 +57,16 @@ class Catalog:
         schema = self.schema_for(self.layer_schemas.get(layer, layer))
         return f"{self.root}/{schema}/{name}"
 
+    def stored(self, name: str) -> Dataset:
+        column = PARTITION if LAYERS.get(name) == "silver" else None
+        return Dataset(self.spark, self.path(name), column)
+
     def has(self, name: str) -> bool:
-        if name in self._views or files.has_data(self.spark, self.path(name)):
+        if name in self._views:
             return True
-        return files.exists(self.spark, f"{self.path(name)}/_columns.json")  # has no rows yet
+        if name == "raw_matches":
+            return files.has_data(self.spark, self.path(name))
+        return self.stored(name).live() is not None
 
     def table(self, name: str) -> DataFrame:
         if name in self._views:
@@ -67,13 +75,8 @@ class Catalog:
             return read_bronze(self.spark, self.path(name))
         if not self.has(name):
             raise LookupError(f"no table {name} in {self.root}")
-        # The stored schema is authoritative: columns a file lacks read as NULL and
-        # columns the table has dropped are not read, without rewriting old partitions.
-        note = files.read_note(self.spark, f"{self.path(name)}/_columns.json")
-        reader = self.spark.read
-        if note is not None:
-            reader = reader.schema(T.StructType.fromJson(note))
-        return describe(reader.parquet(self.path(name)), name)
+        # Columns a file lacks read as NULL, columns the table has dropped are not read.
+        return describe(self.stored(name).read(), name)
 
     def matches(self) -> DataFrame:
         """The matches of ``stg_matches`` as the player facts read them."""
@@ -81,11 +84,12 @@ class Catalog:
 
     def newest_partition(self, name: str) -> date | None:
         """Largest partition date, read off the folder names: no file is opened."""
-        partitions.recover(self.spark, self.path(name))
-        prefix, days = f"{PARTITION}=", []
-        for folder in files.folders(self.spark, self.path(name)):
-            if folder.startswith(prefix) and not folder.endswith(partitions.NULL_FOLDER):
-                days.append(date.fromisoformat(folder.removeprefix(prefix)))
+        prefix = f"{PARTITION}="
+        days = [
+            date.fromisoformat(folder.removeprefix(prefix))
+            for folder in self.stored(name).partitions()
+            if folder.startswith(prefix) and not folder.endswith(partitions.NULL_FOLDER)
+        ]
         return max(days, default=None)
 
     def materialize(
@@ -94,45 +98,61 @@ class Catalog:
         name: str,
         kind: str,
         keys: list[str] | None = None,
-        partition_by: str = PARTITION,
         on_duplicate: str = "error",
         full_refresh: bool = False,
+        check: Callable[[DataFrame], None] | None = None,
     ) -> DataFrame:
-        """Store ``df`` as a ``view``, a rebuilt ``table`` or an ``incremental`` table."""
+        """Store ``df`` as a ``view``, a rebuilt ``table`` or an ``incremental`` table.
+
+        ``check`` sees what was written before readers do; if it raises, or the build
+        fails, the table stays as it was.
+        """
         if kind == "view":
             self._views[name] = describe(df, name)
             df.createOrReplaceTempView(name)
         elif kind == "table":
-            df.write.mode("overwrite").parquet(self.path(name))
+            self.stored(name).replace(df, check=check)
         elif kind == "incremental":
-            self._merge(df, name, keys or [], partition_by, on_duplicate, full_refresh)
+            self._merge(df, name, keys or [], on_duplicate, full_refresh, check)
         else:
             raise ValueError(f"unknown kind: {kind}")
         return self.table(name)
 
     def _merge(
-        self, df: DataFrame, name: str, keys: list[str], column: str, on_duplicate: str, full_refresh: bool
+        self,
+        df: DataFrame,
+        name: str,
+        keys: list[str],
+        on_duplicate: str,
+        full_refresh: bool,
+        check: Callable[[DataFrame], None] | None,
     ) -> None:
-        path = self.path(name)
-        partitions.recover(self.spark, path)
-        if full_refresh or not self.has(name):
-            if on_duplicate != "error":
-                partitions.replace_partitions(unique_updates(df, keys, on_duplicate), path, column)
-            else:
-                # Checked on what was written, so that it is computed once.
-                partitions.replace_partitions(df, path, column, check=lambda new: refuse_duplicates(new, keys))
+        table = self.stored(name)
+        # The updates are used several times: made unique, then computed once.
+        if on_duplicate == "error":
+            updates = scratch.save(df, f"updates-{name}")
+            refuse_duplicates(updates, keys)
         else:
-            # The updates are used several times: computed once, and safe from the loss
-            # of executors.
-            updates = unique_updates(partitions.stage(df, path, "updates"), keys, on_duplicate)
-            target = self.table(name)
-            # An update may move a row to another date; its old partition is touched too.
-            # Ids grow with time, so their range lets the scan skip most old files.
-            first = F.col(keys[0])
-            low, high = updates.agg(F.min(first), F.max(first)).first()
-            near = target.filter(first.between(F.lit(low), F.lit(high))).select(*keys, column)
-            moved = near.join(updates.select(*keys), keys, "left_semi")
-            dates = partitions.partition_values(moved.select(column).union(updates.select(column)), column)
-            merged = upsert(target.filter(partitions.touched(column, dates)), updates, keys, "checked")
-            partitions.replace_partitions(merged, path, column, dates)
-        files.write_note(self.spark, f"{path}/_columns.json", df.schema.jsonValue())
+            updates = scratch.save(unique_updates(df, keys, on_duplicate), f"updates-{name}")
+        note = table.live()
+        if full_refresh or note is None:
+            table.replace(updates, check=check)
+            return
+        target = table.read()
+        old, new = target.schema, df.schema
+        gone = [f.name for f in old.fields if f.name not in new.names]
+        retyped = any(f.name in old.names and old[f.name].dataType != f.dataType for f in new.fields)
+        returned = any(f.name not in old.names and f.name in note["stale"] for f in new.fields)
+        if retyped or returned:
+            # Old files hold other values or types under these names: all of them are rewritten.
+            table.replace(upsert(target, updates, keys, "checked"), check=check)
+            return
+        # An update may move a row to another date; its old partition is touched too.
+        # Ids grow with time, so their range lets the scan skip most old files.
+        first = F.col(keys[0])
+        low, high = updates.agg(F.min(first), F.max(first)).first()
+        near = target.filter(first.between(F.lit(low), F.lit(high))).select(*keys, PARTITION)
+        moved = near.join(updates.select(*keys), keys, "left_semi")
+        dates = partitions.partition_values(moved.select(PARTITION).union(updates.select(PARTITION)), PARTITION)
+        merged = upsert(target.filter(partitions.touched(PARTITION, dates)), updates, keys, "checked")
+        table.replace(merged, dates, check, stale=sorted({*note["stale"], *gone}))

@@ -14,6 +14,7 @@ from matchlake.operators.incremental import incremental_slice
 from matchlake.operators.quality import KEYS, assert_quality
 from matchlake.operators.staging import stage_matches
 from matchlake.plans.catalog import PARTITION, Catalog
+from matchlake.sources.bronze import latest_matches
 
 
 class Model(NamedTuple):
@@ -58,16 +59,22 @@ def run_model(
     model = MODELS[name]
     # The view is for readers; the facts come from the same documents by a shorter way.
     inputs = [catalog.matches() if need == "stg_matches" else catalog.table(need) for need in model.needs]
+
+    def check(new: DataFrame) -> None:
+        assert_quality(new, name)
+
     if model.kind == "table":
-        return catalog.materialize(model.build(*inputs), name, "table")
+        return catalog.materialize(model.build(*inputs), name, "table", check=check)
     if model.kind == "incremental":
         if not full_refresh and catalog.has(name):
             # On the input, below any explode: the literal prunes the folders scanned.
             mark = catalog.newest_partition(name)
             inputs[0] = incremental_slice(inputs[0], mark, PARTITION, lookback_days)
+        if on_duplicate == "latest" and "stg_matches" in model.needs:
+            inputs[0] = latest_matches(inputs[0])
         built = model.build(inputs[0], as_of=as_of)
         return catalog.materialize(
-            built, name, "incremental", KEYS[name], on_duplicate=on_duplicate, full_refresh=full_refresh
+            built, name, "incremental", KEYS[name], on_duplicate=on_duplicate, full_refresh=full_refresh, check=check
         )
     return catalog.materialize(model.build(inputs[0], as_of=as_of), name, model.kind)
 
@@ -100,10 +107,10 @@ def run_pipeline(
     lookback_days: int = 0,
     on_duplicate: str = "error",
 ) -> None:
-    """Refresh layers and check them; a failed check stops the run.
+    """Refresh layers; what is written is checked before it counts, and a failed check stops the run.
 
     ``staging`` and ``silver`` refresh that layer, ``gold`` also everything it builds
-    upon, ``daily`` goes layer by layer and ``full`` builds all before checking all.
+    upon, ``daily`` goes layer by layer and ``full`` through all of them at once.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}; use one of {MODES}")
@@ -122,6 +129,4 @@ def run_pipeline(
                 continue
             run_model(catalog, name, full_refresh, as_of, lookback_days, on_duplicate)
             done.add(name)
-        for name in select_models(layers):
-            assert_quality(catalog.table(name), name)
     log_event(catalog, "transformation_finished", mode=mode, models=len(done))

@@ -8,21 +8,44 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake import config, schemas
-from matchlake.operators.incremental import upsert
 from matchlake.operators.ranking import top_per_group
-from matchlake.sources import files, partitions
+from matchlake.sources import files, partitions, scratch
 
 
 def _columns(df: DataFrame) -> DataFrame:
     return df.select("metadata", "info", "date", F.col("_metadata.file_path").alias("source_file"))
 
 
+def _newest(df: DataFrame, key: Column, date_column: str) -> DataFrame:
+    """The last copy of every document of a date: that of the newest file.
+
+    A document that came again, changed, was appended in a further file (``write_bronze``).
+    """
+    order = [F.col("_file_time").desc(), F.col("source_file").desc()]
+    ranked = top_per_group(df.withColumn("_key", key), [date_column, "_key"], order)
+    return ranked.drop("_key", "_file_time")
+
+
+def document_key(metadata: Column, info: Column) -> Column:
+    """The match id; documents without one go by their content."""
+    content = F.concat_ws("", F.lit("#"), F.sha2(F.concat_ws("|", metadata, info), 256))
+    return F.coalesce(match_id_of(metadata), content)
+
+
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """``metadata, info`` as JSON text, ``date`` from the folder, ``source_file``.
 
     Filters on ``date`` prune folders. A malformed line raises.
     """
-    return _columns(spark.read.schema(schemas.BRONZE).option("mode", "FAILFAST").json(root))
+    lines = spark.read.schema(schemas.BRONZE).option("mode", "FAILFAST").json(root)
+    documents = lines.select(
+        "metadata",
+        "info",
+        "date",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("_file_time"),
+    )
+    return _newest(documents, document_key(F.col("metadata"), F.col("info")), "date")
 
 
 def read_matches(spark: SparkSession, root: str) -> DataFrame:
@@ -31,14 +54,26 @@ def read_matches(spark: SparkSession, root: str) -> DataFrame:
     Staging keeps the blocks and the participants as JSON text, which costs a pass over
     the text each. Here the file reader yields the participants directly.
     """
-    return _matches(spark.read.schema(schemas.DOCUMENT).option("mode", "FAILFAST").json(root))
+    matches = _matches(spark.read.schema(schemas.DOCUMENT).option("mode", "FAILFAST").json(root))
+    again = matches.withColumn("_file_time", F.col("file_time"))
+    return _newest(again, F.col("match_id"), "ingestion_date")
+
+
+def latest_matches(matches: DataFrame) -> DataFrame:
+    """One document per match: of the newest date, and there of the newest file."""
+    order = [F.col(c).desc() for c in ("ingestion_date", "file_time", "source_file")]
+    return top_per_group(matches, ["match_id"], order)
 
 
-def stream_matches(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_matches(
+    spark: SparkSession, root: str, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+) -> DataFrame:
     """``read_matches`` of newly arrived files, each file once."""
     reader = spark.readStream.schema(schemas.DOCUMENT).option("mode", "FAILFAST")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    elif bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return _matches(reader.json(root))
 
 
@@ -50,6 +85,8 @@ def _matches(documents: DataFrame) -> DataFrame:
         F.col("info.tft_set_number").cast("bigint").alias("tft_set_number"),
         "info.participants",
         F.col("date").alias("ingestion_date"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
     )
 
 
@@ -74,6 +111,12 @@ def match_id_of(metadata: Column) -> Column:
     return F.from_json(metadata, schemas.METADATA)["match_id"]
 
 
+def json_blocks() -> list[Column]:
+    """The two blocks as they come out of a line of a file."""
+    flat = lambda name: F.translate(name, "\r\n", "  ").alias(name)
+    return [flat("metadata"), flat("info")]
+
+
 def json_lines(df: DataFrame) -> DataFrame:
     """One line of JSON text per document, beside its ``date``."""
     block = lambda name: F.translate(F.coalesce(name, F.lit("null")), "\r\n", "  ")
@@ -86,28 +129,29 @@ def write_bronze(
 ) -> None:
     """Store documents; one that has come before on the same date replaces the old one.
 
-    ``order`` says which of several copies in ``df`` is the last (largest first); without
-    it the choice is arbitrary but repeatable. Documents share files, so a day of many
-    small documents is a few large files. Only the dates in ``df`` are rewritten. Without
-    a column ``date`` the documents go to the UTC date of ``as_of``, or of now.
+    New and changed documents are appended in files of their own, unchanged ones are left
+    out; readers take the copy of the newest file. Files once written stay as they are, so a
+    file stream loads a document again only where it has changed. ``order`` says which of
+    several copies in ``df`` is the last (largest first); without it the choice is arbitrary
+    but repeatable. Documents without a match id go by their content. Documents share files,
+    so a day of many small documents is a few large files. Without a column ``date`` the
+    documents go to the UTC date of ``as_of``, or of now.
     """
     spark = df.sparkSession
-    partitions.recover(spark, root)
     if "date" not in df.columns:
         df = df.withColumn("date", F.to_date(F.current_timestamp() if as_of is None else as_of))
-    keyed = df.withColumn("match_id", match_id_of(F.col("metadata")))
+    key, content = document_key(F.col("metadata"), F.col("info")), F.sha2(F.concat_ws("|", "metadata", "info"), 256)
     if order is None:
         order = [F.xxhash64("metadata", "info").desc()]
-    named = F.col("match_id").isNotNull()
-    last = top_per_group(keyed.filter(named), ["date", "match_id"], order)
-    last = last.unionByName(keyed.filter(~named)).select("metadata", "info", "date", "match_id")
-    staged = partitions.stage(last, root, "updates")
-    dates = partitions.partition_values(staged, "date")
+    last = top_per_group(df.withColumn("_key", key), ["date", "_key"], order).withColumn("_content", content)
+    last = scratch.save(last.select("metadata", "info", "date", "_key", "_content"), "bronze")
     if files.has_data(spark, root):
-        old = read_bronze(spark, root).filter(partitions.touched("date", dates))
-        old = old.withColumn("match_id", match_id_of(F.col("metadata")))
-        staged = upsert(old.drop("source_file"), staged, ["date", "match_id"])
-    partitions.replace_partitions(json_lines(staged), root, "date", dates, format="text")
+        dates = partitions.partition_values(last, "date")
+        known = read_bronze(spark, root).filter(partitions.touched("date", dates)).select(*json_blocks(), "date")
+        known = known.select(F.col("date").alias("_date"), key.alias("_known"), content.alias("_same"))
+        same = F.col("date").eqNullSafe(F.col("_date")) & (F.col("_key") == F.col("_known")) & (F.col("_content") == F.col("_same"))
+        last = last.select(*json_blocks(), "date").withColumn("_key", key).withColumn("_content", content).join(known, same, "left_anti")
+    json_lines(last).hint("rebalance", "date").write.mode("append").partitionBy("date").text(root)
 
 
 def bronze_partition_counts(bronze: DataFrame, n: int = 5) -> DataFrame:

@@ -18,7 +18,12 @@ class Catalogue(NamedTuple):
 
 
 def read_item_catalogue(spark: SparkSession, path: str) -> Catalogue:
+    """Read the document; one without an item list, as a truncated one, raises."""
     document = spark.read.schema(schemas.ITEM_CATALOGUE).option("multiLine", True).json(path)
+    broken = F.raise_error(F.lit(f"no item catalogue in {path}"))
+    document = document.withColumn("items", F.coalesce("items", broken)).withColumn(
+        "setData", F.when(F.size("items") >= 0, F.col("setData"))
+    )
     items = document.select(F.posexplode("items").alias("pos", "item")).select(
         F.col("pos").cast("long").alias("pos"), "item.apiName", "item.icon"
     )

@@ -22,14 +22,6 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(jpath, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    fs, jsource = _path(spark, source)
-    _, jtarget = _path(spark, target)
-    fs.mkdirs(jtarget.getParent())
-    if not fs.rename(jsource, jtarget):
-        raise OSError(f"cannot move {source} to {target}")
-
-
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right below ``path``."""
     fs, jpath = _path(spark, path)
@@ -38,6 +30,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of everything right below ``path``."""
+    fs, jpath = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether the folder has partition folders or files of a finished write."""
     fs, jpath = _path(spark, path)
@@ -47,7 +45,7 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 
 def write_note(spark: SparkSession, path: str, content: dict) -> None:
-    """Put a small JSON file in place, complete or not at all."""
+    """Put a new small JSON file in place, complete or not at all."""
     fs, jpath = _path(spark, path)
     draft = spark._jvm.org.apache.hadoop.fs.Path(path + ".draft")
     out = fs.create(draft, True)
@@ -55,9 +53,7 @@ def write_note(spark: SparkSession, path: str, content: dict) -> None:
         out.write(bytearray(json.dumps(content).encode()))
     finally:
         out.close()
-    if fs.exists(jpath):
-        fs.delete(jpath, False)
-    if not fs.rename(draft, jpath):
+    if fs.exists(jpath) or not fs.rename(draft, jpath):
         raise OSError(f"cannot write {path}")
 
 

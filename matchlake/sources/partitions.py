@@ -1,27 +1,26 @@
-"""Replace whole partitions of a plain file dataset that is being read.
+"""Stored tables whose content is replaced as a whole or not at all.
 
-A path cannot be overwritten while its own rows feed the write. So the new content of
-the touched partitions is first written next to the dataset and then moved in, folder by
-folder. A note with the plan makes an interrupted move complete itself on the next call.
-Untouched partitions are neither read nor rewritten.
+Every write goes to new folders, ``<partition>/gen=<id>``; nothing a reader may have open is
+touched. Then one small numbered note is put in place that lists the live folder of every
+partition, and the schema. Readers open what the newest note lists, so they see the table as
+it was or as it is now, whatever a write was cut off at. Folders that neither the newest nor
+the last note but one lists are removed. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.sources import files
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
-def staging_of(path: str) -> str:
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_staging-{name}"
+GENERATION = "gen"
 
 
 def folder_of(column: str, value: date | None) -> str:
@@ -40,62 +39,88 @@ def partition_values(df: DataFrame, column: str) -> list[date | None]:
     return [row[0] for row in df.select(column).distinct().collect()]
 
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Complete a replacement that was cut off, or clear one that never got that far."""
-    staging = staging_of(path)
-    plan = files.read_note(spark, f"{staging}/plan.json")
-    if plan is not None:
-        _move_in(spark, path, plan)
-    if files.exists(spark, staging):
-        files.remove(spark, staging)
-
-
-def stage(df: DataFrame, path: str, part: str) -> DataFrame:
-    """Write ``df`` beside the dataset and read it back, so that it is computed once."""
-    target = f"{staging_of(path)}/{part}"
-    df.write.mode("overwrite").parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
-
-
-def replace_partitions(
-    df: DataFrame,
-    path: str,
-    column: str,
-    values: list[date | None] | None = None,
-    format: str = "parquet",
-    check: Callable[[DataFrame], None] | None = None,
-) -> None:
-    """Make ``df`` the whole content of the partitions ``values``, or of the dataset.
-
-    ``check`` sees the new content before it replaces anything, and may raise. Rows are
-    rebalanced by partition first: a date becomes a few files of good size however many
-    tasks held its rows, and a large date is split over several tasks.
-    """
-    spark = df.sparkSession
-    content = f"{staging_of(path)}/content"
-    writer = df.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
-    writer.format(format).save(content)
-    if check is not None:
-        check(spark.read.schema(df.schema).format(format).load(content))
-    filled = set(files.folders(spark, content))
-    if values is None:
-        names = filled | {n for n in files.folders(spark, path) if n.startswith(f"{column}=")}
-    else:
-        names = {folder_of(column, v) for v in values}
-    if not filled <= names:
-        raise ValueError(f"rows outside the replaced partitions: {sorted(filled - names)}")
-    plan = {"content": content, "filled": sorted(filled), "empty": sorted(names - filled)}
-    files.write_note(spark, f"{staging_of(path)}/plan.json", plan)
-    _move_in(spark, path, plan)
-    files.remove(spark, staging_of(path))
-    spark.catalog.refreshByPath(path)
-
-
-def _move_in(spark: SparkSession, path: str, plan: dict) -> None:
-    for name in plan["empty"]:
-        files.remove(spark, f"{path}/{name}")
-    for name in plan["filled"]:
-        source = f"{plan['content']}/{name}"
-        if files.exists(spark, source):  # else an earlier attempt has moved it already
-            files.remove(spark, f"{path}/{name}")
-            files.move(spark, source, f"{path}/{name}")
+class Dataset:
+    """A parquet table below ``path``, partitioned by a date ``column`` or not at all."""
+
+    def __init__(self, spark: SparkSession, path: str, column: str | None = None):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.column = column
+
+    def _notes(self) -> list[int]:
+        return sorted(int(n) for n in files.names(self.spark, f"{self.path}/_live") if n.isdigit())
+
+    def _note(self, number: int) -> dict:
+        return files.read_note(self.spark, f"{self.path}/_live/{number:010d}") or {}
+
+    def live(self) -> dict | None:
+        """The newest note: schema, live folders, and columns only old files have."""
+        notes = self._notes()
+        return self._note(notes[-1]) if notes else None
+
+    def _open(self, schema: T.StructType, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType([*schema.fields, T.StructField(GENERATION, T.StringType())])
+        reader = self.spark.read.schema(stored).option("basePath", self.path)
+        return reader.parquet(*[f"{self.path}/{f}" for f in folders]).select(*schema.fieldNames())
+
+    def read(self) -> DataFrame:
+        note = self.live()
+        if note is None:
+            raise LookupError(f"no table in {self.path}")
+        return self._open(T.StructType.fromJson(note["schema"]), note["folders"])
+
+    def partitions(self) -> list[str]:
+        """Names of the live partition folders."""
+        note = self.live()
+        return sorted(f.split("/")[0] for f in note["folders"]) if note else []
+
+    def replace(
+        self,
+        df: DataFrame,
+        values: list[date | None] | None = None,
+        check: Callable[[DataFrame], None] | None = None,
+        stale: list[str] | None = None,
+    ) -> None:
+        """Make ``df`` the whole content of the partitions ``values``, or of the table.
+
+        ``check`` sees the new content before it counts, and may raise. Rows are rebalanced
+        by partition: a date becomes a few files of good size however many tasks held its
+        rows, and a large date is split over several tasks.
+        """
+        generation = uuid.uuid4().hex
+        own = f"{GENERATION}={generation}"
+        rows = df.withColumn(GENERATION, F.lit(generation))
+        keys = [GENERATION] if self.column is None else [self.column, GENERATION]
+        dealt = rows if self.column is None else rows.hint("rebalance", self.column)
+        dealt.write.mode("append").partitionBy(*keys).parquet(self.path)
+        if self.column is None:
+            filled = [own] if files.exists(self.spark, f"{self.path}/{own}") else []
+        else:
+            names = [n for n in files.folders(self.spark, self.path) if n.startswith(f"{self.column}=")]
+            filled = [f"{n}/{own}" for n in names if files.exists(self.spark, f"{self.path}/{n}/{own}")]
+        if check is not None:
+            check(self._open(df.schema, filled))
+        before = self.live()
+        kept: list[str] = []
+        if values is not None and before is not None:
+            gone = {folder_of(self.column, v) for v in values}
+            strange = {f.split("/")[0] for f in filled} - gone
+            if strange:
+                raise ValueError(f"rows outside the replaced partitions: {sorted(strange)}")
+            kept = [f for f in before["folders"] if f.split("/")[0] not in gone]
+        number = (self._notes() or [0])[-1] + 1
+        note = {"schema": df.schema.jsonValue(), "folders": sorted(kept + filled), "stale": stale or []}
+        files.write_note(self.spark, f"{self.path}/_live/{number:010d}", note)
+        self._tidy()
+        self.spark.catalog.refreshByPath(self.path)
+
+    def _tidy(self) -> None:
+        """Keep what the last two notes list: readers may still have the older one open."""
+        notes = self._notes()
+        wanted = {f for n in notes[-2:] for f in self._note(n)["folders"]}
+        for number in notes[:-2]:
+            for folder in set(self._note(number)["folders"]) - wanted:
+                files.remove(self.spark, f"{self.path}/{folder}")
+            files.remove(self.spark, f"{self.path}/_live/{number:010d}")

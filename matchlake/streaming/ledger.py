@@ -52,6 +52,17 @@ class LedgerTable:
             parts = parts.join(ids, "match_id", "left_semi")
         return top_per_group(parts, ["match_id"], [F.col("version").desc()]).drop("version")
 
+    def tidy(self) -> None:
+        """Remove what lies before the last but one full ledger.
+
+        The batch that wrote the last one may be run again, and then reads what came before.
+        """
+        found = [name.partition("=") for name in files.folders(self.spark, self.root)]
+        full = sorted(int(n) for kind, _, n in found if kind == "full")
+        for kind, _, n in found:
+            if len(full) > 1 and kind in ("batch", "full") and int(n) < full[-2]:
+                files.remove(self.spark, f"{self.root}/{kind}={n}")
+
     def requests(self, number: int) -> DataFrame:
         """Ids that one micro-batch asks for again: only those it had events of."""
         touched = self.spark.read.schema(VERSIONED).parquet(f"{self.root}/batch={number}")
@@ -85,6 +96,7 @@ def stream_ledger(
         table.write(fold_ledger(batch, prior, max_retries, max_dlq, slice_events), number)
         if compact_every and number % compact_every == compact_every - 1:
             table.write(table.current(before=number + 1), number, "full")
+            table.tidy()
 
     return (
         events.writeStream.foreachBatch(load)

@@ -55,7 +55,7 @@ def test_unhandled_ids_and_summary(spark):
 @pytest.mark.parametrize("count,size", [(0, 50), (1, 50), (50, 50), (51, 50), (1234, 50), (7, 3)])
 def test_batches(spark, count, size):
     ids = spark.range(count).select(F.concat(F.lit("BR1_"), "id").alias("match_id"))
-    got = discovery.batch_ids(ids.union(ids), size, as_of="2024-01-01 06:30:00", digits=2).orderBy("batch_num").collect()
+    got = discovery.batch_ids(ids.union(ids), size, as_of="2024-01-01 06:30:00").orderBy("batch_num").collect()
     assert [r.batch_num for r in got] == list(range(1, -(-count // size) + 1))
     assert all(r.size == size for r in got[:-1])
     assert sorted(m for r in got for m in r.match_ids) == sorted(f"BR1_{i}" for i in range(count))

@@ -4,9 +4,10 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from matchlake.operators.incremental import DuplicateKeyError, incremental_slice, sync_columns, unique_updates, upsert
 from matchlake.plans.catalog import Catalog
-from matchlake.sources import files, partitions
+from matchlake.sources import files
 
 D = [date(2024, 1, day) for day in range(1, 10)]
 SCHEMA = "k string, v long, ingestion_date date"
@@ -61,17 +62,17 @@ def load(catalog, df, **options):
 
 
 def folders(catalog):
-    return files.folders(catalog.spark, catalog.path("fact_units"))
+    return catalog.stored("fact_units").partitions()
 
 
 def test_stored_upsert_moves_rows_and_drops_emptied_partitions(spark, catalog):
     load(catalog, rows(spark, ("a", 1, D[0]), ("b", 2, D[1]), ("c", 3, D[2])))
     untouched = f"{catalog.path('fact_units')}/ingestion_date=2024-01-03"
-    before = sorted(p.name for p in Path(untouched).iterdir())
+    before = sorted(str(p) for p in Path(untouched).rglob("*"))
     got = load(catalog, rows(spark, ("a", 10, D[1]), ("n", 4, D[3])))
     assert content(got) == [("a", 10, D[1]), ("b", 2, D[1]), ("c", 3, D[2]), ("n", 4, D[3])]
     assert folders(catalog) == [f"ingestion_date=2024-01-0{d}" for d in (2, 3, 4)]
-    assert before == sorted(p.name for p in Path(untouched).iterdir())
+    assert before == sorted(str(p) for p in Path(untouched).rglob("*"))
     assert catalog.newest_partition("fact_units") == D[3]
 
 
@@ -105,7 +106,7 @@ def test_duplicates_stop_a_load_before_anything_changes(spark, catalog):
     assert content(load(catalog, twice, on_duplicate="latest")) == [("a", 2, D[1])]
 
 
-def test_columns_come_and_go_without_rewriting_old_partitions(spark, catalog):
+def test_columns_come_and_go(spark, catalog):
     load(catalog, rows(spark, ("a", 1, D[0]), ("b", 2, D[1])))
     changed = spark.createDataFrame([("b", "new", D[1])], "k string, extra string, ingestion_date date")
     got = load(catalog, changed)
@@ -113,28 +114,57 @@ def test_columns_come_and_go_without_rewriting_old_partitions(spark, catalog):
     assert sorted((r.k, r.extra) for r in got.collect()) == [("a", None), ("b", "new")]
 
 
-def test_an_interrupted_replacement_is_completed(spark, catalog, monkeypatch):
+def test_a_dropped_column_that_returns_is_empty_in_old_partitions(spark, catalog):
+    shape = "k string, v long, ingestion_date date"
+    load(catalog, spark.createDataFrame([("a", 1, D[0]), ("b", 2, D[1])], shape))
+    load(catalog, spark.createDataFrame([("b", D[1])], "k string, ingestion_date date"))
+    got = load(catalog, spark.createDataFrame([("c", 3, D[2])], shape))
+    assert sorted((r.k, r.v) for r in got.collect()) == [("a", None), ("b", None), ("c", 3)]
+
+
+def test_a_retyped_column_reads(spark, catalog):
+    load(catalog, spark.createDataFrame([("a", 1, D[0]), ("b", 2, D[1])], "k string, v long, ingestion_date date"))
+    got = load(catalog, spark.createDataFrame([("b", "x", D[1])], "k string, v string, ingestion_date date"))
+    assert sorted((r.k, r.v) for r in got.collect()) == [("a", "1"), ("b", "x")]
+
+
+@pytest.mark.parametrize("cut", ["write_note", "exists"])
+def test_a_cut_off_replacement_leaves_the_old_rows(spark, catalog, monkeypatch, cut):
     load(catalog, rows(spark, ("a", 1, D[0]), ("b", 2, D[1]), ("c", 3, D[2])))
-    moved, calls = files.move, []
+    old = content(catalog.table("fact_units"))
 
-    def fail_second(*args):
-        calls.append(args)
-        if len(calls) == 2:
-            raise OSError("lost")
-        moved(*args)
+    def lost(*args):
+        raise OSError("lost")
 
-    monkeypatch.setattr(files, "move", fail_second)
-    with pytest.raises(OSError):
-        load(catalog, rows(spark, ("a", 10, D[1]), ("c", 30, D[2])))
-    monkeypatch.setattr(files, "move", moved)
-    partitions.recover(spark, catalog.path("fact_units"))
-    assert content(catalog.table("fact_units")) == [("a", 10, D[1]), ("b", 2, D[1]), ("c", 30, D[2])]
+    with monkeypatch.context() as patch:
+        patch.setattr(files, cut, lost)
+        with pytest.raises(OSError):
+            load(catalog, rows(spark, ("a", 10, D[1]), ("c", 30, D[2])))
+    assert content(catalog.table("fact_units")) == old
+    got = load(catalog, rows(spark, ("a", 10, D[1]), ("c", 30, D[2])))
+    assert content(got) == [("a", 10, D[1]), ("b", 2, D[1]), ("c", 30, D[2])]
 
 
-def test_staged_leftovers_are_ignored(spark, catalog):
-    load(catalog, rows(spark, ("a", 1, D[0])))
-    partitions.stage(rows(spark, ("zzz", 1, D[5])), catalog.path("fact_units"), "updates")
-    assert content(load(catalog, rows(spark, ("b", 2, D[0])))) == [("a", 1, D[0]), ("b", 2, D[0])]
+def test_a_failed_build_leaves_the_old_table(spark, catalog):
+    catalog.materialize(spark.range(3), "unit_winrate", "table")
+    broken = spark.range(5).select(F.when(F.col("id") > 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        catalog.materialize(broken, "unit_winrate", "table")
+    assert catalog.table("unit_winrate").count() == 3
+
+    def refuse(new):
+        raise ValueError("checked")
+
+    with pytest.raises(ValueError):
+        catalog.materialize(spark.range(9), "unit_winrate", "table", check=refuse)
+    assert catalog.table("unit_winrate").count() == 3
+
+
+def test_old_folders_go_after_two_more_writes(spark, catalog):
+    for n in range(5):
+        catalog.materialize(spark.range(n + 1), "unit_winrate", "table")
+    assert catalog.table("unit_winrate").count() == 5
+    assert len(files.folders(spark, catalog.path("unit_winrate"))) == 3  # two of data, and the notes
 
 
 def test_schema_names_and_unknown_tables(spark, tmp_path):

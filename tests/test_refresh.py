@@ -104,7 +104,7 @@ def test_a_failed_check_stops_the_run(spark, tmp_path):
     put(catalog, document("M1", [player("a", None, [unit("A")])], DAYS[0]))
     with pytest.raises(QualityError):
         run_pipeline(catalog)
-    assert catalog.has("fact_units") and not catalog.has("unit_winrate")
+    assert not catalog.has("fact_player_results") and not catalog.has("unit_winrate")
 
 
 def test_checks(spark):
@@ -133,6 +133,47 @@ def test_stream_refresh_takes_each_file_once_and_late_ones_too(spark, tmp_path):
     assert tables(catalog) == tables(whole)
 
 
+def test_a_second_write_to_a_date_loads_only_what_changed(spark, tmp_path):
+    catalog, checkpoint = Catalog(spark, str(tmp_path / "a")), str(tmp_path / "cp")
+    root, seen = catalog.path("raw_matches"), []
+    put(catalog, match(1, DAYS[0]), match(2, DAYS[0]))
+    run_incremental(catalog, checkpoint)
+    put(catalog, match(1, DAYS[0]), match(2, DAYS[0], tft_set_number=17), match(3, DAYS[0]))
+    query = (
+        stream_bronze(spark, root).writeStream.foreachBatch(lambda batch, _: seen.append(sorted(json.loads(r.metadata)["match_id"] for r in batch.collect())))
+        .option("checkpointLocation", str(tmp_path / "other")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sum(seen, []) and sorted(sum(seen, [])) == ["M1", "M2", "M2", "M3"]
+    run_incremental(catalog, checkpoint)
+    whole = Catalog(spark, str(tmp_path / "b"))
+    put(whole, match(1, DAYS[0]), match(2, DAYS[0], tft_set_number=17), match(3, DAYS[0]))
+    run_pipeline(whole, "full")
+    assert tables(catalog) == tables(whole)
+
+
+def test_one_version_of_a_match_wins_as_a_whole(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path))
+
+    def version(order):
+        players = [player(f"p{i}", place, [unit("A")]) for i, place in enumerate(order)]
+        return document("M1", players, DAYS[0])
+
+    for order in ([1, 2, 3, 4, 5, 6, 7, 8], [8, 7, 6, 5, 4, 3, 2, 1]):
+        lines = spark.createDataFrame([('{"metadata":%s,"info":%s}' % version(order)[:2], DAYS[0])], "value string, date date")
+        lines.write.mode("append").partitionBy("date").text(catalog.path("raw_matches"))
+    run_incremental(catalog, str(tmp_path / "cp"))
+    places = {r.puuid: r.placement for r in catalog.table("fact_player_results").collect()}
+    assert [places[f"p{i}"] for i in range(8)] in ([1, 2, 3, 4, 5, 6, 7, 8], [8, 7, 6, 5, 4, 3, 2, 1])
+
+
+def test_documents_without_an_id_are_stored_once(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    for _ in range(3):
+        write_bronze(spark.createDataFrame([('{"x":1}', '{"y":2}', DAYS[0])], "metadata string, info string, date date"), root)
+    assert read_bronze(spark, root).count() == 1
+
+
 def test_stream_dedupe(spark, tmp_path):
     root = str(tmp_path / "bronze")
     for day in DAYS[:2]:
