@@ -67,7 +67,7 @@ def _models(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     for row in sums.toLocalIterator():  # as many numbers as there are buckets
         place = slice(row.chunk * CHUNK, (row.chunk + 1) * CHUNK)
         raw[place], good[place] = row.raw, row.good
-    return raw, good
+    return raw[:size], good[:size]
 
 
 def log_ratios(raw: np.ndarray, good: np.ndarray) -> np.ndarray:

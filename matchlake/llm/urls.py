@@ -103,7 +103,8 @@ def _gram_scores(trained: DataFrame, wanted: DataFrame) -> DataFrame:
 def _threshold(held: DataFrame) -> float | None:
     """The score from which on URLs are accepted: most held-out URLs on their right side.
 
-    Accepted and rejected ones weigh the same altogether; of equal cuts the lowest is taken.
+    Accepted and rejected ones weigh the same altogether. The cut lies in the middle of the gap
+    between the scores it parts; of equal cuts the lowest is taken.
     """
     step = F.floor(F.col("score") / STEP)
     bins = held.groupBy(F.greatest(F.least(step, F.lit(1000)), F.lit(-1000)).alias("bin")).agg(
@@ -115,8 +116,9 @@ def _threshold(held: DataFrame) -> float | None:
     passed = F.sum("a").over(whole) - F.coalesce(F.sum("a").over(below), F.lit(0))
     stopped = F.coalesce(F.sum("r").over(below), F.lit(0))
     sides = passed / F.greatest(F.sum("a").over(whole), F.lit(1)) + stopped / F.greatest(F.sum("r").over(whole), F.lit(1))
-    best = bins.withColumn("right", F.round(sides, 9)).orderBy(F.desc("right"), "bin").first()
-    return None if best is None else best["bin"] * STEP
+    gap = F.coalesce(F.lag("bin").over(order) + 1, F.col("bin"))
+    best = bins.select("bin", gap.alias("gap"), F.round(sides, 9).alias("right")).orderBy(F.desc("right"), "bin").first()
+    return None if best is None else (best["bin"] + best["gap"]) / 2 * STEP
 
 
 def filter_urls(
