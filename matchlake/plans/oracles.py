@@ -288,6 +288,20 @@ SELECT match_id, puuid, placement, ingestion_date FROM players
 WHERE ingestion_date >= (SELECT max(ingestion_date) FROM players WHERE ingestion_date <= DATE '2024-01-07') - 1""",
     "upsert": UPSERT,
     "upsert_table": UPSERT,
+    "full_refresh_table": """SELECT 'P' || (c_custkey * 20) AS puuid, c_acctbal AS amount,
+  DATE '2024-01-05' + CAST(c_custkey % 10 AS INTEGER) AS ingestion_date FROM customer""",
+    "sync_columns_table": f"""WITH {SEATS}
+SELECT puuid, CASE WHEN CAST(trunc(o_totalprice) AS BIGINT) % 3 = 2 THEN o_totalprice END AS amount,
+  CASE WHEN CAST(trunc(o_totalprice) AS BIGINT) % 3 = 2 THEN 'S' || placement ELSE CAST(placement AS VARCHAR) END AS seat, ingestion_date
+FROM players""",
+    "expire_bronze": f"""WITH {SEATS}
+SELECT ingestion_date AS date, count(DISTINCT m) AS total FROM players WHERE ingestion_date >= DATE '2024-01-08'
+GROUP BY 1 ORDER BY 1 DESC""",
+    "stream_dedupe": f"WITH {SEATS} SELECT DISTINCT 'M' || m AS match_id FROM players",
+    "changed_documents_refresh": CORE_COMP,
+    "medallion_players": PLAYER_RESULTS,
+    "item_catalogue": """SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS pos, p_name AS "apiName",
+  'ASSETS/Maps/' || p_brand || ' ' || p_type || '.tex' AS icon FROM part""",
     "sync_columns": f"WITH {SEATS} SELECT puuid, placement, CAST(NULL AS DOUBLE) AS added FROM players",
     "bronze_partition_counts": f"""WITH {SEATS}
 SELECT ingestion_date AS date, count(DISTINCT m) AS total FROM players GROUP BY 1 ORDER BY 1 DESC LIMIT 5""",

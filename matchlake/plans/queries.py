@@ -7,6 +7,7 @@ without a zone, so that results can be compared between engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from matchlake.plans import fixtures as fx
 from matchlake.plans.catalog import Catalog
 from matchlake.plans.medallion import run_pipeline
 from matchlake.sources import bronze, messages, scratch
+from matchlake.sources.catalogue import read_item_catalogue
 from matchlake.streaming.ingest import run_incremental
 from matchlake.streaming.ledger import LedgerTable, stream_ledger
 
@@ -235,6 +237,32 @@ def upsert_table(t):
     return catalog.table("fact_player_results")
 
 
+@query
+def full_refresh_table(t):
+    """A rebuilt table holds the second load only."""
+    target, updates = _upsert_sides(t)
+    catalog = Catalog(t.spark, run_folder(t, "full"))
+    catalog.materialize(target, "fact_player_results", "incremental", ["puuid"])
+    catalog.materialize(updates, "fact_player_results", "incremental", ["puuid"], full_refresh=True)
+    return catalog.table("fact_player_results")
+
+
+@query
+def sync_columns_table(t):
+    """Three loads: with ``amount``, without it, and with it again; ``seat`` becomes text on the way."""
+    day = F.col("ingestion_date")
+    seats = fx.players(t).select("puuid", "placement", "o_totalprice", day)
+    kind = F.pmod(F.col("o_totalprice").cast("long"), F.lit(3))
+    first = seats.filter(kind == 0).select("puuid", F.col("o_totalprice").alias("amount"), F.col("placement").alias("seat"), day)
+    second = seats.filter(kind == 1).select("puuid", F.col("placement").alias("seat"), day)
+    text = F.concat(F.lit("S"), F.col("placement").cast("string")).alias("seat")
+    third = seats.filter(kind == 2).select("puuid", F.col("o_totalprice").alias("amount"), text, day)
+    catalog = Catalog(t.spark, run_folder(t, "sync"))
+    for rows in (first, second, third):
+        catalog.materialize(rows, "fact_player_results", "incremental", ["puuid"])
+    return catalog.table("fact_player_results")
+
+
 @query
 def sync_columns(t):
     old = fx.players(t).select("puuid", "placement", F.lit(1).alias("dropped"))
@@ -258,6 +286,49 @@ def bronze_round_trip(t):
     return staged.select("match_id", "game_id", "game_datetime", "game_length_seconds", "queue_id", "ingestion_date")
 
 
+@query
+def expire_bronze(t):
+    """Documents per date that retention leaves."""
+    root = run_folder(t, "expire")
+    bronze.write_bronze(fx.documents(t), root)
+    bronze.expire_bronze(t.spark, root, days=10, as_of=date(2024, 1, 18))
+    return bronze.bronze_partition_counts(bronze.read_bronze(t.spark, root), n=1000)
+
+
+@query
+def stream_dedupe(t):
+    """Ids of a stream of documents that come on two dates, each once."""
+    root, out = run_folder(t, "dedupe"), run_folder(t, "dedupe-out")
+    documents = fx.documents(t)
+    bronze.write_bronze(documents.unionByName(documents.withColumn("date", F.date_add("date", 40))), root)
+    stream = bronze.stream_bronze(t.spark, root, dedupe=True).select("match_id").writeStream.format("parquet")
+    stream.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+    return t.spark.read.schema("match_id string").parquet(f"{out}/rows")
+
+
+@query
+def changed_documents_refresh(t):
+    """Two writes to the same dates, the second changing documents, each followed by a refresh."""
+    root = run_folder(t, "changed")
+    catalog = Catalog(t.spark, root)
+    documents = fx.documents(t)
+    other = F.regexp_replace("info", '"placement":[0-9]+', '"placement":8')
+    odd = F.pmod(F.xxhash64("metadata"), F.lit(2)) == 1
+    for version in (documents.withColumn("info", F.when(odd, other).otherwise(F.col("info"))), documents):
+        bronze.write_bronze(version, catalog.path("raw_matches"))
+        run_incremental(catalog, f"{root}/checkpoint")
+    return catalog.table("core_comp_winrate")
+
+
+@query
+def medallion_players(t):
+    """The stored player facts of a full refresh."""
+    catalog = Catalog(t.spark, run_folder(t, "medallion"))
+    bronze.write_bronze(fx.documents(t), catalog.path("raw_matches"))
+    run_pipeline(catalog, mode="full", full_refresh=True)
+    return catalog.table("fact_player_results")
+
+
 @query
 def medallion_refresh(t):
     """Documents to stored gold tables through the layer runner."""
@@ -409,6 +480,16 @@ def batch_outcomes(t):
 # --- assets ----------------------------------------------------------------------
 
 
+@query
+def item_catalogue(t):
+    """The items of a catalogue document, written as one piece and read back."""
+    path = run_folder(t, "catalogue")
+    items = fx.catalogue_items(t).groupBy().agg(F.sort_array(F.collect_list(F.struct("pos", "apiName", "icon"))).alias("items"))
+    one = F.struct(F.lit(1).alias("number"), F.transform("items", lambda x: x["apiName"]).alias("items"))
+    items.select(F.to_json(F.struct("items", F.array(one).alias("setData"))).alias("value")).coalesce(1).write.text(path)
+    return read_item_catalogue(t.spark, path).items
+
+
 @query
 def item_lookup(t):
     return assets.item_lookup(fx.catalogue_items(t))
