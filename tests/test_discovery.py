@@ -109,6 +109,26 @@ def test_item_icons(spark, tmp_path):
     assert [r.api_name for r in assets.item_icon_urls(items, sets, stored).collect()] == ["tft16_item_b"]
 
 
+def test_a_broken_catalogue_raises(spark, tmp_path):
+    path = tmp_path / "broken.json"
+    path.write_text('{"items": [{"apiName": "A", "icon"')
+    with pytest.raises(Exception, match="no item catalogue"):
+        read_item_catalogue(spark, str(path)).items.collect()
+    with pytest.raises(Exception, match="no item catalogue"):
+        read_item_catalogue(spark, str(path)).sets.collect()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_broken_messages_are_rejected_in_any_session(spark, ansi):
+    data = [("eyJtYXRjaF9pZHMiOlsiYSJdfQ==", False), ("!!", True), ("e30=", True), ("eyJtYXRjaF9pZHMiOltdfQ==", True), (None, True)]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = decode_messages(spark.createDataFrame([(d,) for d, _ in data], "data string")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert [r.rejected for r in got] == [broken for _, broken in data]
+
+
 def test_asset_paths(spark):
     paths = ["ASSETS/A b.TEX", "x/assets/c.tex"]
     got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").select(asset_url(F.col("p"), "u")).collect()]

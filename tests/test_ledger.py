@@ -151,3 +151,45 @@ def test_a_repeated_batch_counts_once(spark, tmp_path):
         before = table.current(before=0)
         table.write(ledger.fold_ledger(events(spark, {"a": "de"}), before), 0)
     assert documents(table.current()) == {"a": brute_force("de")}
+
+
+def test_documents_beyond_the_limits_fold_alike_in_any_number_of_slices(spark):
+    names = {"dead": "xxx", "errors": "eee", "both": "xexn", "settled": "ke", "again": "dxexx"}
+    shape = "match_id string, status string, retries long, dlq_attempts long, last_error string"
+    prior = spark.createDataFrame([(m, "error", 4, 5, "old") for m in names], shape)
+    want = {m: brute_force(s, {"status": "error", "retries": 4, "dlq_attempts": 5, "last_error": "old"}) for m, s in names.items()}
+    for slice_events in (1, 2, 1000):
+        assert documents(ledger.fold_ledger(events(spark, names), prior, slice_events=slice_events)) == want
+
+
+def test_chains_of_blocks_of_slices(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "BLOCK", 3)
+    sequences = random_sequences(6, 60, 5)
+    got = documents(ledger.fold_ledger(events(spark, sequences), slice_events=2))
+    assert got == {m: brute_force(s) for m, s in sequences.items()}
+
+
+def test_events_without_an_id_count_for_nothing(spark):
+    log = events(spark, {"a": "de"}).union(events(spark, {"x": "de"}).withColumn("match_id", F.lit(None).cast("string")))
+    assert set(documents(ledger.fold_ledger(log, slice_events=1))) == {"a"}
+
+
+def test_a_load_asks_only_for_its_own_ids(spark, tmp_path):
+    first, second = events(spark, {"a": "de", "b": "de"}), events(spark, {"b": "e"})
+    folded = ledger.fold_ledger(second, ledger.fold_ledger(first))
+    assert {r.match_id for r in ledger.requeue(folded, touched=second).collect()} == {"b"}
+    table = LedgerTable(spark, str(tmp_path))
+    table.write(ledger.fold_ledger(first), 0)
+    table.write(ledger.fold_ledger(second, table.current(before=1, ids=second.select("match_id").distinct())), 1)
+    assert {r.match_id for r in table.requests(1).collect()} == {"b"}
+
+
+def test_old_ledger_folders_go(spark, tmp_path):
+    table = LedgerTable(spark, str(tmp_path))
+    for n in range(6):
+        table.write(ledger.fold_ledger(events(spark, {f"m{n}": "de"}), table.current(before=n)), n)
+        if n % 2:
+            table.write(table.current(before=n + 1), n, "full")
+            table.tidy()
+    assert set(documents(table.current())) == {f"m{n}" for n in range(6)}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["batch=3", "batch=4", "batch=5", "full=3", "full=5"]

@@ -5,8 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-
-from matchlake.operators import gold, silver
+from matchlake.operators import discovery, gold, silver
 from matchlake.operators.ranking import top_per_group
 from matchlake.operators.staging import stage_matches
 from matchlake.plans import fixtures as fx
@@ -62,6 +61,28 @@ def test_hot_groups_are_cut_before_the_shuffle(stored):
     assert re.search(r"Exchange hashpartitioning.*?WindowGroupLimit .*?Partial", text, re.S)
 
 
+def test_compositions_are_dealt_once(spark, stored):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(gold.core_comp_winrate(stored("units"), stored("traits")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # units, traits, and the rates by composition
+    assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_players_come_before_their_matches_are_ranked(spark, small):
+    tables = fx.Tables(spark, small)
+    text = plan(discovery.discover_matches(fx.history(tables), fx.ladder(tables).limit(5), as_of="2024-01-01"))
+    assert text.index("row_number") < text.index("LeftSemi")
+
+
+def test_large_cuts_come_before_the_shuffle_too(stored):
+    text = plan(top_per_group(stored("units"), ["patch"], [F.col("placement").asc()], k=5000))
+    assert re.search(r"Exchange hashpartitioning.*?WindowGroupLimit .*?Partial", text, re.S) and text.count("Exchange") == 1
+
+
 def test_a_ledger_batch_reads_its_own_ids_only(spark, tmp_path):
     from matchlake.operators.ledger import fold_ledger
     from matchlake.streaming.ledger import LedgerTable
