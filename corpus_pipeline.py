@@ -11,7 +11,7 @@ from matchlake.llm.decontam import decontaminate
 from matchlake.llm.jaccard import keep_one
 from matchlake.llm.mixing import mix
 from matchlake.llm.quality_rules import filter_quality
-from matchlake.llm.sharding import assign_shards
+from matchlake.llm.sharding import shard_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -38,7 +38,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The shard and slot of every row, as op2 gives them; the texts aren't moved."""
-    return assign_shards(docs, carry=["doc_id"])
+    return shard_table(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: ``[^\x20\x09-\x0D]+`` is a word in every operator of this package.
-WORD = "[^\\x20\\x09-\\x0D]+"
 #: A frame of at most this many rows, counted first, may be broadcast.
 BROADCAST_ROWS = 500_000
 #: Rows of a few numbers that one task writes.
@@ -85,18 +82,6 @@ def pack(frame: DataFrame, name: str = "_row") -> Column:
     return F.struct(*[F.col(f"`{x}`") for x in frame.columns]).alias(name)
 
 
-def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``limit`` bytes each; a longer row stands alone."""
-    start, total = 0, 0
-    for i, n in enumerate(lengths):
-        if i > start and total + n > limit:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(lengths):
-        yield start, len(lengths)
-
-
 def number_rows(
     frame: DataFrame, order: list, scratch: Scratch, name: str, rows_per_block: int = 200_000
 ) -> DataFrame:

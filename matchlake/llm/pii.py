@@ -12,6 +12,7 @@ pass. Without enough held-out negatives a kind adds nothing.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 import zlib
@@ -223,8 +224,6 @@ def _scan_text(text: str) -> tuple[list[dict], list[dict]]:
 
 def _overlaps(taken: list[tuple[int, int]], starts: list[int], start: int, stop: int) -> bool:
     """Whether [start, stop) meets a base span; spans of different kinds may overlap each other."""
-    import bisect
-
     i = bisect.bisect_left(starts, stop)
     # base spans are few at one place: at most one of each kind covers it
     return any(taken[j][1] > start for j in range(max(0, i - 8), i))

@@ -155,7 +155,6 @@ def calibrate(
             sums.append(F.count_if(hit & F.col("_good")).alias(f"{rule}_g{i}"))
             sums.append(F.count_if(hit & ~F.col("_good")).alias(f"{rule}_b{i}"))
     tallies = held.groupBy(stratum.alias("stratum")).agg(*sums)
-    tallies = tallies.withColumn("strata", F.lit(None).cast("long"))
     strata = tallies.count()
 
     def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,7 +176,7 @@ def calibrate(
             yield pd.DataFrame(out).astype({x: "Int64" for x in RULES})
 
     schema = "stratum string, " + ", ".join(f"{x} long" for x in RULES)
-    return tallies.drop("strata").mapInPandas(decide, schema)
+    return tallies.mapInPandas(decide, schema)
 
 
 def judged(counts: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") -> DataFrame:

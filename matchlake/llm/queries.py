@@ -15,18 +15,7 @@ def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    # carries the id alone: the sums are made while the text is read
-    placed = sharding.assign_shards(docs, carry=["doc_id"])
-    return placed.select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        F.lit("bytes").alias("law"),
-        "shard",
-        "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
-    )
+    return sharding.shard_table(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,13 @@ def assign_shards(
     return replace_columns(result, "_row", MADE)
 
 
+def shard_table(docs: DataFrame, n_shards: int = 24) -> DataFrame:
+    """doc_id, size, text_crc32, the law (equal bytes), shard, slot; carries nothing but the id."""
+    placed = assign_shards(docs, n_shards, carry=["doc_id"])
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 def write_shards(sharded: DataFrame, path: str) -> None:
     """Write the result of ``assign_shards`` as one folder per shard, rows in slot order.
 
