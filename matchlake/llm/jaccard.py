@@ -16,8 +16,10 @@ of them: a longer prefix asks for more matches before a pair is verified. The st
    verified links join components. This collapses groups of near copies without their pairs.
 5. Exact finish. What is still missing can only lie between components. For each shingle, the
    classes outside its largest component are paired with those of other components; a
-   pair that shares min(k, k') shingles at prefix levels up to that number is verified. No cap:
-   every pair that the prefixes allow is looked at unless its link would join nothing new.
+   pair that shares min(k, k') shingles at prefix levels up to that number is verified. Two bounds
+   spare pairs that can't be similar: the places where they meet, and parity bits of the sets,
+   of which as many differ as there are shingles in only one of the two, at most. No cap: every
+   pair that the bounds allow is looked at unless its link would join nothing new.
 
 Verification is the exact intersection of the two sets.
 """
@@ -39,6 +41,7 @@ PERCENT = 80
 SHINGLE = 5
 ENTRIES_PER_BUCKET = 500_000
 MAX_LEVEL = 4
+PARITY_WORDS = 16
 #: Cost of verifying a pair, in posting reads.
 VERIFY_COST = 20
 #: Star rounds go on while the finish would look at more than so many pairs per posting.
@@ -54,6 +57,12 @@ def _digest(shingles: np.ndarray) -> tuple[int | None, int | None]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """For each of ``64 * PARITY_WORDS`` cells whether an odd number of the shingles falls into it."""
+    cells = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.uint64)
+
+
 def _need(n, percent: int):
     return (n * percent + 99) // 100
 
@@ -64,8 +73,8 @@ def _sets(texts: pa.Array, size: int) -> Iterator[list[np.ndarray]]:
 
 
 def shingle_classes(docs: DataFrame, size: int = SHINGLE, with_set: bool = False) -> DataFrame:
-    """doc_id, n (distinct shingles), hi and lo (digest; NULL for an empty set), and the set."""
-    schema = "doc_id long, n long, hi long, lo long" + (", shingles array<long>" if with_set else "")
+    """doc_id, n (distinct shingles), hi and lo (digest; NULL for an empty set), the set and its parity bits."""
+    schema = "doc_id long, n long, hi long, lo long" + (", shingles array<long>, bits array<long>" if with_set else "")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,7 +89,7 @@ def shingle_classes(docs: DataFrame, size: int = SHINGLE, with_set: bool = False
                 ]
                 at += len(sets)
                 if with_set:
-                    columns.append(textscan.list_column(sets))
+                    columns += [textscan.list_column(sets), textscan.list_column([_parity(x) for x in sets])]
                 yield pa.RecordBatch.from_arrays(columns, names=schema_names)
 
     schema_names = [x.split()[0] for x in schema.split(", ")]
@@ -284,21 +293,31 @@ def _cross(placed: DataFrame, scratch: Scratch, name: str, n: int) -> tuple[Data
     return placed.join(tokens.select("token", "main"), "token").withColumn("stray", F.expr("comp <> main")).drop("main"), int(pairs)
 
 
-def _finish_pairs(cross: DataFrame, percent: int) -> DataFrame:
+def _finish_pairs(cross: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs between components that share as many prefix shingles as their levels ask for."""
-    left, right = _side(cross.where("stray").drop("stray"), "_x"), _side(cross, "_y")
+    words = range(PARITY_WORDS)
+    bits = sets.select("node", *[F.col("bits")[i].alias(f"bits{i}") for i in words])
+    known = cross.join(bits, "node")
+
+    def side(frame: DataFrame, x: str) -> DataFrame:
+        return _side(frame, x).withColumnsRenamed({f"bits{i}": f"bits{i}{x}" for i in words})
+
+    left, right = side(known.where("stray").drop("stray"), "_x"), side(known, "_y")
+    # at most so many elements lie in one of two similar sets only
+    apart = " + ".join(f"bit_count(bits{i}_x ^ bits{i}_y)" for i in words)
+    few = F.expr(f"{100 + percent} * ({apart}) <= {100 - percent} * (n_x + n_y)")
     met = (
         left.join(right, "token")
         .where("comp_x <> comp_y AND (NOT stray OR node_x < node_y)")
         .where("greatest(level_x, level_y) <= least(k_x, k_y)")
-        .where(_may_link("_x", "_y", percent))
+        .where(_may_link("_x", "_y", percent) & few)
     )
     pair = [F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")]
     return met.groupBy(*pair, F.least("k_x", "k_y").alias("k")).count().where("count >= k").select("a", "b")
 
 
 def link_classes(sets: DataFrame, scratch: Scratch, percent: int = PERCENT, max_level: int = MAX_LEVEL) -> DataFrame:
-    """(node, comp) of the classes in ``sets`` (node, n, shingles) that have partners."""
+    """(node, comp) of the classes in ``sets`` (node, n, shingles, bits) that have partners."""
     postings = scratch.save(_postings(sets, percent, max_level), "postings")
     n, nodes = postings.count(), sets.count()
     labels = scratch.save(postings.select("node").distinct().withColumn("comp", F.col("node")), "labels", nodes)
@@ -313,7 +332,7 @@ def link_classes(sets: DataFrame, scratch: Scratch, percent: int = PERCENT, max_
         labels = merge_components(labels, links, scratch, f"star{turn}")
         # where few of the comparisons join anything, further ones hardly would
         done = links.count() * 5 < pairs.count()
-    pairs = scratch.save(_finish_pairs(cross, percent), "finish")
+    pairs = scratch.save(_finish_pairs(cross, sets, percent), "finish")
     links = scratch.save(_verified(pairs, sets, percent), "finish-links")
     return merge_components(labels, links, scratch, "finish")
 
@@ -335,9 +354,9 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, size: int = S
     # the whole sets of what is left; the text travels only where its id does not fit a broadcast
     ids = bounded(kept.select(F.col("rep").alias("_rep")).distinct())
     again = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
-    whole = shingle_classes(again, size, with_set=True).select("hi", "lo", "n", "shingles")
+    whole = shingle_classes(again, size, with_set=True).select("hi", "lo", "n", "shingles", "bits")
     sets = whole.join(kept.select("hi", "lo"), ["hi", "lo"], "left_semi").dropDuplicates(["hi", "lo"])
-    sets = scratch.save(sets.select(F.col("lo").alias("node"), "n", "shingles"), "sets")
+    sets = scratch.save(sets.select(F.col("lo").alias("node"), "n", "shingles", "bits"), "sets")
     labels = link_classes(sets, scratch, percent, max_level)
 
     grouped = classes.join(labels, F.col("lo") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "lo"))
