@@ -25,7 +25,7 @@ _UNBASE = pow(_BASE, -1, 2**64)
 _PIECE = 1 << 20
 _powers: list[np.ndarray] = []
 #: Texts are scanned in runs of about so many bytes.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
