@@ -8,7 +8,8 @@ of them: a longer prefix asks for more matches before a pair is verified. The st
 1. Equal sets are one class (128-bit digest); from here on only classes count.
 2. Elimination. Under the order of the hashes every class gives a prefix with k = 1 + n/10.
    A class that shares fewer of these shingles with any other class has no partner. Only
-   shingle hashes and class ids are shuffled, dealt evenly by hash.
+   shingle hashes and class ids are shuffled, dealt evenly by hash. Tasks put entries together
+   first: of a shingle that several classes of a run have, only two are sent.
 3. The classes that are left are read again, whole. Their shingles are ordered rarest first and
    every class chooses its own k: the estimated cost is the number of postings that its prefix
    reads plus the candidates that it may have to verify, at most postings / k.
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ from matchlake.llm.common import Scratch, bounded
 PERCENT = 80
 SHINGLE = 5
 ENTRIES_PER_BUCKET = 500_000
+#: Entries that a task puts together before it deals them.
+ENTRIES_PER_RUN = 500_000
 MAX_LEVEL = 4
 PARITY_WORDS = 16
 #: Cost of verifying a pair, in posting reads.
@@ -96,10 +100,56 @@ def shingle_classes(docs: DataFrame, size: int = SHINGLE, with_set: bool = False
     return docs.select("doc_id", "text").mapInArrow(scan, schema)
 
 
+def _entries(shingle: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct entries in order, and for each its shingle's number."""
+    order = np.lexsort((owner, shingle))
+    shingle, owner = shingle[order], owner[order]
+    new_shingle = np.append(True, shingle[1:] != shingle[:-1])
+    new = new_shingle | np.append(True, owner[1:] != owner[:-1])
+    return shingle[new], owner[new], np.cumsum(new_shingle[new]) - 1
+
+
+def _packed(shingle: np.ndarray, owner: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """What a run of prefixes has to say: at most two entries for each shingle, and counts.
+
+    A shingle of several classes is shared whatever the other runs hold. Its smallest and largest
+    class tell them so; for the others it is counted here, as rows without shingles.
+    """
+    shingle, owner, group = _entries(shingle, owner)
+    first = np.append(True, group[1:] != group[:-1])
+    sent = first | np.append(first[1:], True)
+    known, count = np.unique(owner[~sent], return_counts=True)
+    shingle, owner = shingle[sent], owner[sent]
+    bucket = (shingle % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    names, start = np.unique(bucket[order], return_index=True)
+    ends = np.append(start, len(order)).astype(np.int32)
+    # counts go wherever there is room, dealt in slices
+    cuts = np.linspace(0, len(known), min(len(known), len(names)) + 1).astype(np.int32)
+    more = len(cuts) - 1
+    rest = np.zeros(more, np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([names, names[:more]])),
+            pa.ListArray.from_arrays(pa.array(np.concatenate([ends, ends[-1] + rest])), pa.array(shingle[order].view(np.int64))),
+            pa.ListArray.from_arrays(pa.array(np.concatenate([ends, ends[-1] + cuts[1:]])), pa.array(np.concatenate([owner[order], known]))),
+            pa.ListArray.from_arrays(pa.array(np.concatenate([np.zeros(len(names), np.int32), cuts])), pa.array(count.astype(np.int64))),
+        ],
+        names=["bucket", "shingles", "classes", "counts"],
+    )
+
+
 def _prefix_entries(docs: DataFrame, buckets: int, size: int, percent: int) -> DataFrame:
-    """Prefixes under the order of the hashes, as (bucket, shingles, classes) with equal lengths."""
+    """Prefixes under the order of the hashes, as (bucket, shingles, classes) with equal lengths.
+
+    They are put together over runs of about ``ENTRIES_PER_RUN``, in which repeated texts and shingles of
+    many classes take no more room than two entries for each shingle. ``counts`` belongs to rows without
+    shingles: how many shared shingles of each class are counted already. A class whose texts
+    lie in several runs may be counted more often than it should, never less.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, classes, held = [], [], 0
         for batch in batches:
             for sets in _sets(batch.column(0), size):
                 sets = [x for x in sets if len(x)]
@@ -107,52 +157,48 @@ def _prefix_entries(docs: DataFrame, buckets: int, size: int, percent: int) -> D
                     continue
                 heads = [x[: len(x) - _need(len(x), percent) + 1 + len(x) // 10] for x in sets]
                 owners = np.array([_digest(x)[1] for x in sets], np.int64)
-                shingles = np.concatenate(heads)
-                classes = np.repeat(owners, [len(x) for x in heads])
-                bucket = (shingles % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                names, first = np.unique(bucket[order], return_index=True)
-                ends = pa.array(np.append(first, len(order)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names),
-                        pa.ListArray.from_arrays(ends, pa.array(shingles[order].view(np.int64))),
-                        pa.ListArray.from_arrays(ends, pa.array(classes[order])),
-                    ],
-                    names=["bucket", "shingles", "classes"],
-                )
-
-    return docs.select("text").mapInArrow(scan, "bucket long, shingles array<long>, classes array<long>")
+                shingles.append(np.concatenate(heads))
+                classes.append(np.repeat(owners, [len(x) for x in heads]))
+                held += len(shingles[-1])
+                if held >= ENTRIES_PER_RUN:
+                    yield _packed(np.concatenate(shingles), np.concatenate(classes), buckets)
+                    shingles, classes, held = [], [], 0
+        if held:
+            yield _packed(np.concatenate(shingles), np.concatenate(classes), buckets)
+
+    return docs.select("text").mapInArrow(scan, "bucket long, shingles array<long>, classes array<long>, counts array<long>")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, number of its shingles here that another class has), over one partition."""
+    """(class, number of its shingles here that another class has), over one partition, and the counts there were."""
     shingles, classes = [], []
     for batch in batches:
-        shingles.append(batch.column(0).flatten().to_numpy(zero_copy_only=False))
-        classes.append(batch.column(1).flatten().to_numpy(zero_copy_only=False))
+        rows, counts = batch.filter(pc.greater(pc.list_value_length(batch.column(0)), 0)), batch.column(2).flatten()
+        if len(counts):
+            known = batch.filter(pc.greater(pc.list_value_length(batch.column(2)), 0)).column(1).flatten()
+            yield pa.RecordBatch.from_arrays([known, counts], names=["lo", "shared"])
+        shingles.append(rows.column(0).flatten().to_numpy(zero_copy_only=False))
+        classes.append(rows.column(1).flatten().to_numpy(zero_copy_only=False))
     if not shingles:
         return
     shingle, owner = np.concatenate(shingles), np.concatenate(classes)
     del shingles, classes
-    order = np.lexsort((owner, shingle))
-    shingle, owner = shingle[order], owner[order]
-    new_shingle = np.append(True, shingle[1:] != shingle[:-1])
-    new = new_shingle | np.append(True, owner[1:] != owner[:-1])
-    owner, new_shingle = owner[new], new_shingle[new]
-    group = np.cumsum(new_shingle) - 1
+    if not len(shingle):
+        return
+    _, owner, group = _entries(shingle, owner)
     held = np.bincount(group)[group] > 1
     found, count = np.unique(owner[held], return_counts=True)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count.astype(np.int64))], names=["lo", "shared"])
 
 
-def _survivors(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+def _survivors(docs: DataFrame, table: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Classes that share enough of their prefix to have a partner: rep, hi, lo, n."""
     spark = docs.sparkSession
-    entries = classes.agg(F.sum(F.col("n") * (100 - percent + 10) / 100 + 2)).first()[0] or 0
+    # repeated texts count, as in several runs they are several entries
+    entries = table.agg(F.sum(F.col("n") * (100 - percent + 10) / 100 + 2)).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(entries) // ENTRIES_PER_BUCKET + 1)
     dealt = _prefix_entries(docs, 4 * parts, size, percent).repartition(parts, "bucket")
-    shared = dealt.select("shingles", "classes").mapInArrow(_shared, "lo long, shared long")
+    shared = dealt.select("shingles", "classes", "counts").mapInArrow(_shared, "lo long, shared long")
     totals = shared.groupBy(F.col("lo").alias("_lo")).agg(F.sum("shared").alias("shared"))
     # a partner has at least need(n) elements, so its own k is at least 1 + need(n) / 10
     least = F.expr(f"1 + ((n * {percent} + 99) div 100) div 10")
@@ -350,7 +396,7 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, size: int = S
     classes = scratch.save(
         table.where("n > 0").groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep")), "classes"
     )
-    kept = scratch.save(_survivors(docs, classes, size, percent), "survivors")
+    kept = scratch.save(_survivors(docs, table, classes, size, percent), "survivors")
     # the whole sets of what is left; the text travels only where its id does not fit a broadcast
     ids = bounded(kept.select(F.col("rep").alias("_rep")).distinct())
     again = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")

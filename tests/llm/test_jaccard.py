@@ -70,6 +70,57 @@ def test_chains_and_borderline_pairs(spark, monkeypatch, rounds):
     _check(spark, rows)
 
 
+def _crowd():
+    """400 copies of one text, 300 texts with a long passage in common, 60 near copies, and single ones."""
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join(f"c{j}" for j in range(40))) for i in range(400)]
+    rows += [(1000 + i, " ".join([f"d{i}x{j}" for j in range(25)] + passage)) for i in range(300)]
+    rows += [(2000 + i, " ".join([f"n{j}" for j in range(60)] + [f"e{i}"])) for i in range(60)]
+    rows += [(3000 + i, " ".join(f"s{i}x{j}" for j in range(30))) for i in range(50)]
+    return rows
+
+
+def test_hot_shingles_are_put_together_before_they_are_dealt(spark):
+    rows = _crowd()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    entries, counted = Counter(), 0
+    for r in jaccard._prefix_entries(docs, 8, 5, 80).collect():
+        entries.update(r.shingles)
+        counted += bool(r.counts)
+    # two for each of the runs, here one in each of three tasks
+    assert max(entries.values()) <= 6 and counted
+
+
+@pytest.mark.parametrize("run", [1, 700, 500_000])
+def test_shared_shingles_are_counted_whole(run):
+    """However the runs are cut: no class has fewer shared shingles than it should, and single ones none."""
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+
+    sets = [jaccard.textscan.shingle_sets(*jaccard.textscan.flat(pa.array([t])))[0] for _, t in dict.fromkeys((None, t) for _, t in _crowd())]
+    heads = [x[: len(x) - jaccard._need(len(x), 80) + 1 + len(x) // 10] for x in sets]
+    df = Counter(int(s) for x in heads for s in x)
+    want = {jaccard._digest(x)[1]: n for x, h in zip(sets, heads) if (n := sum(df[int(s)] > 1 for s in h))}
+    packed, shingles, owners = [], [], []
+    for i, (x, h) in enumerate(zip(sets, heads)):
+        shingles.append(h)
+        owners.append(jaccard.np.full(len(h), jaccard._digest(x)[1]))
+        if sum(map(len, shingles)) >= run or i == len(sets) - 1:
+            packed.append(jaccard._packed(jaccard.np.concatenate(shingles), jaccard.np.concatenate(owners), 4))
+            shingles, owners = [], []
+    got = Counter()
+    for bucket in range(4):
+        mine = [b.filter(pa.compute.equal(b.column(0), bucket)).select([1, 2, 3]) for b in packed]
+        for out in jaccard._shared(iter(mine)):
+            for lo, n in zip(*(c.to_pylist() for c in out.columns)):
+                got[lo] += n
+    assert got == want
+
+
+def test_crowd_against_plain_version(spark):
+    _check(spark, _crowd())
+
+
 def test_odd_rows(spark):
     docs = odd.docs(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
