@@ -95,8 +95,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM gone) AS kept
 FROM based"""
 
+COPIES = f"""WITH lowered AS (SELECT doc_id, {LOWER.replace("text,", "coalesce(text, ''),")} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM lowered WINDOW same AS (PARTITION BY t)"""
+
 ORACLES: dict[str, str] = {
     "op2_sharding": SHARDS,
     "op4_quality_rules": VERDICTS,
     "op8_jaccard": GROUPS,
+    "op13_copies": COPIES,
 }

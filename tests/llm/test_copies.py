@@ -1,0 +1,96 @@
+import hashlib
+from collections import defaultdict
+
+import odd
+import pytest
+
+from matchlake.llm import copies, sketch
+from matchlake.llm.common import Scratch
+from matchlake.llm.queries import QUERIES
+
+
+def _digest(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return hashlib.sha256(lowered.encode()).hexdigest()
+
+
+def _expected(rows):
+    """Sorted (id, largest id of its group, rows of its group, digest), and how many rows stay."""
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[_digest(t)].append(i)
+    out = []
+    for digest, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        out += [(i, max(known) if known else None, len(ids), digest) for i in ids]
+    return sorted(out, key=str), len(groups)
+
+
+def _check(found, rows):
+    want, groups = _expected(rows)
+    got = found.collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == want
+    kept = [r for r in got if r.kept]
+    assert len(kept) == len({r.text_sha256 for r in kept}) == groups
+    assert all(r.doc_id == r.keep_id for r in kept)
+
+
+def test_query_against_plain_version(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    _check(QUERIES["op13_copies"](spark, small), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("hot_rows", [1, 2, 1000])
+def test_odd_rows(spark, hot_rows):
+    docs = odd.docs(spark)
+    found = copies.exact_copies(docs, hot_rows=hot_rows)
+    _check(found, [(r.doc_id, r.text) for r in docs.collect()])
+    assert found.columns.count("kept") == 1 and found.schema["kept"].dataType.simpleString() == "boolean"
+    assert {"text", "_index", "size"} <= set(found.columns)
+
+
+def test_columns_of_inner_names(spark):
+    rows = [(1, "A", "x"), (2, "a", "y"), (None, "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hash string")
+    docs = docs.withColumn("_id", docs.doc_id).withColumn("_row", docs.doc_id).withColumn("_doc", docs.doc_id)
+    _check(copies.exact_copies(docs), [(1, "A"), (2, "a"), (None, "b")])
+    left = copies.drop_copies(docs)
+    assert left.columns == docs.columns and {r.text for r in left.collect()} == {"a", "b"}
+
+
+def test_only_ascii_is_lowered(spark):
+    rows = [(1, "ÄRGER İ K"), (2, "Ärger İ K"), (3, "ärger İ K"), (4, "Ärger i̇ k"), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _check(copies.exact_copies(docs), rows)
+
+
+def test_empty_table(spark):
+    assert copies.exact_copies(odd.no_docs(spark)).count() == 0
+    assert copies.drop_copies(odd.no_docs(spark)).count() == 0
+
+
+def test_filter_that_is_far_too_small(spark):
+    """With nearly every place taken all rows are shuffled, and nothing else changes."""
+    docs = spark.range(200_000).selectExpr("id AS doc_id", "cast(id div 2 * 2 AS string) AS text")
+    found = copies.exact_copies(docs, pages_mb=0)
+    assert found.filter("kept and doc_id % 2 = 1 and group_size = 2 and keep_id = doc_id").count() == 100_000
+    assert found.filter("kept").count() == 100_000
+
+
+def test_filter_has_no_miss_and_few_wrong_guesses(spark):
+    keys = spark.range(30_000).selectExpr("if(id < 1000, id % 500, id) AS k")
+    scratch, length = Scratch(spark, "test"), sketch.row_length(30_000)
+    pages = sketch.repeated_pages(keys, ["k"], length, scratch, "pages")
+    asked = sketch.flag_repeated(keys, ["k"], pages, length, "maybe")
+    assert asked.filter("k < 500 and not maybe").count() == 0
+    assert asked.filter("k >= 500 and maybe").count() < 0.03 * 29_000
+
+
+def test_bounded_pages():
+    assert sketch.row_length(10**12, 128) * sketch.ROWS == 128 * 2**20 * 8
+    assert sketch.row_length(0) == sketch.PAGE
+
+
+def test_no_python_in_the_plan(spark, small):
+    plan = QUERIES["op13_copies"](spark, small)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
