@@ -8,11 +8,13 @@ SPACES = "'[\\x20\\x09-\\x0D]+'"
 WORDS = f"list_filter(regexp_split_to_array({{}}, {SPACES}), lambda x: x <> '')"
 
 _ZERO = "3988292384"  # the polynomial of CRC-32, reversed
-SHARDS = f"""WITH RECURSIVE bits AS (
+# steps of CRC-32 by byte
+_CRC = f"""bits AS (
   SELECT i AS byte, 0 AS round, i::BIGINT AS v FROM range(256) t(i)
   UNION ALL
   SELECT byte, round + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, {_ZERO}::BIGINT) ELSE v >> 1 END FROM bits WHERE round < 8),
-crc AS (SELECT list(v ORDER BY byte) AS step FROM bits WHERE round = 8),
+crc AS (SELECT list(v ORDER BY byte) AS step FROM bits WHERE round = 8)"""
+SHARDS = f"""WITH RECURSIVE {_CRC},
 bytes AS (
   SELECT doc_id, octet_length(encode(text)) AS n,
     list_transform(range(octet_length(encode(text))), lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT) AS b
@@ -99,9 +101,33 @@ COPIES = f"""WITH lowered AS (SELECT doc_id, {LOWER.replace("text,", "coalesce(t
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
 FROM lowered WINDOW same AS (PARTITION BY t)"""
 
+TRIE = f"""WITH RECURSIVE {_CRC},
+turns AS (
+  SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+taken AS (
+  SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::BIGINT)),
+    lambda a, x: xor(step[(xor(a, x) & 255) + 1], a >> 8)), 4294967295::BIGINT) % 9 AS h
+  FROM turns, crc),
+rebuilt AS (
+  SELECT o.c, list_concat(coalesce(list_slice(a.s, 1, h), []), coalesce(list_slice(o.s, h + 1, len(o.s)), [])) AS s
+  FROM taken JOIN turns o ON o.c = taken.c LEFT JOIN turns a ON a.c = o.c - o.c % 5),
+prefixes AS (SELECT c, d, d = len(s) AS ends, s[1:d] AS k, s[d].t AS t FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT d, k, min(c) AS c, count(*) AS n, count(*) = count_if(ends) AS leaf, coalesce((count(*) - 1) * octet_length(encode(any_value(t))), 0) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, k),
+below AS (
+  SELECT d, k[1:d] AS k, count_if(depth = d + 1) AS n_children, count_if(leaf) AS n_leaves, sum(saved) AS saved
+  FROM (SELECT d AS depth, k, leaf, saved, unnest(range(d + 1)) AS d FROM nodes) GROUP BY ALL)
+SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n AS n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+  below.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below ON below.d = n.d AND below.k = n.k LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]"""
+
 ORACLES: dict[str, str] = {
     "op2_sharding": SHARDS,
     "op4_quality_rules": VERDICTS,
     "op8_jaccard": GROUPS,
+    "op12_trie": TRIE,
     "op13_copies": COPIES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import chat, copies, decontam, importance, jaccard, mixing, pii, quality_rules, sharding, tokens, urls, whitening
+from matchlake.llm import chat, copies, decontam, importance, jaccard, mixing, pii, quality_rules, sharding, tokens, trie, urls, whitening
 from matchlake.llm.common import read
 
 
@@ -68,6 +68,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening_table(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"), rebuild=True)
+
+
 def op13_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.copies_table(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -84,5 +88,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
     "op11_whitening": op11_whitening,
+    "op12_trie": op12_trie,
     "op13_copies": op13_copies,
 }
