@@ -140,11 +140,61 @@ def test_stream_over_several_batches_equals_the_fold(spark, tmp_path):
         part = log.filter((F.col("seq") >= low) & (F.col("seq") < low + 6))
         part.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schemas.LEDGER_EVENT).parquet(source)
-        stream_ledger(stream, table, str(tmp_path / "cp"), compact_every=2, slice_events=4).awaitTermination()
+        stream_ledger(stream, table, str(tmp_path / "cp"), compact_every=2).awaitTermination()
     assert documents(table.current()) == {m: brute_force(s) for m, s in sequences.items()}
     assert (tmp_path / "ledger" / "full=1").exists()
 
 
+def test_stream_goes_on_from_an_earlier_ledger(spark, tmp_path):
+    sequences = {m: s + "dkxe" for m, s in random_sequences(20, 8, 3).items()}
+    log, cut = events(spark, sequences), 4
+    earlier = ledger.fold_ledger(log.filter(F.col("seq") < cut))
+    earlier = earlier.unionByName(ledger.fold_ledger(events(spark, {"idle": "de"})))
+    source, table = str(tmp_path / "events"), LedgerTable(spark, str(tmp_path / "ledger"))
+    log.filter(F.col("seq") >= cut).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(schemas.LEDGER_EVENT).parquet(source)
+    stream_ledger(stream, table, str(tmp_path / "cp"), initial=earlier).awaitTermination()
+    assert documents(table.current()) == {m: brute_force(s) for m, s in (sequences | {"idle": "de"}).items()}
+
+
+def test_stream_applies_odd_events_like_the_fold(spark, tmp_path):
+    """Unknown kinds, NULLs, long texts, equal times; each id's events come in two micro-batches."""
+    at = [None, START, START, START + timedelta(seconds=1)]
+    kinds = ["fetch_error", "strange", None, "not_found", "dead_letter"]
+    rows = [
+        (f"m{i % 7}" if i % 11 else None, None if i % 5 == 0 else i, at[i % 4], kinds[i % 5], "x" * 498 + "401" if i % 3 else None)
+        for i in range(80)
+    ]
+    log = spark.createDataFrame(rows, schemas.LEDGER_EVENT)
+    source, table = str(tmp_path / "events"), LedgerTable(spark, str(tmp_path / "ledger"))
+    want = None
+    for low in (0, 40):
+        part = log.filter((F.col("message").isNull()) == (low > 0))
+        want = ledger.fold_ledger(part, want)
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schemas.LEDGER_EVENT).parquet(source)
+        stream_ledger(stream, table, str(tmp_path / "cp")).awaitTermination()
+    assert documents(table.current()) == documents(want)
+
+
+def test_a_micro_batch_reads_no_ledger(spark, tmp_path, monkeypatch):
+    """What a batch reads are its own events; the documents come from the state store."""
+    source, table = str(tmp_path / "events"), LedgerTable(spark, str(tmp_path / "ledger"))
+    monkeypatch.setattr(LedgerTable, "current", lambda *a, **k: pytest.fail("the ledger is read"))
+    for number, letters in enumerate(("de", "e", "k")):
+        log = events(spark, {"a": letters}).withColumn("event_time", F.col("event_time") + F.expr(f"interval {number} days"))
+        log.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schemas.LEDGER_EVENT).parquet(source)
+        query = stream_ledger(stream, table, str(tmp_path / "cp"))
+        query.awaitTermination()
+        assert query.exception() is None
+        progress = query.lastProgress
+        assert progress["numInputRows"] == len(letters) and progress["stateOperators"][0]["numRowsTotal"] == 1
+    monkeypatch.undo()
+    assert [r.status for r in table.current().collect()] == ["success"]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
 def test_a_repeated_batch_counts_once(spark, tmp_path):
     table = LedgerTable(spark, str(tmp_path))
     for _ in range(2):
