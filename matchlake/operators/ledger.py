@@ -38,6 +38,8 @@ LAID_OVER = ["status", "created_at", "last_error", "updated_at", "processed_at",
 
 #: Events of one id that are folded at once, at most; the rest goes to further slices.
 SLICE_EVENTS = 20_000
+#: Cells in which the events of ids are counted first.
+CELLS = 1 << 16
 #: Slices of one id that are chained at once; more of them are chained in blocks.
 BLOCK = 256
 
@@ -194,17 +196,58 @@ def fold_ledger(
 ) -> DataFrame:
     """The ledger after ``events``, starting from ``prior``. Events without an id count for nothing.
 
-    Events are dealt into ranges of (id, time, sequence) of about ``slice_events`` each,
-    however they are spread over ids. Ids inside one slice are folded from their document.
-    The others, at most one or two per slice, are folded slice by slice: what a slice does
-    depends on its start only through a few control states (settled as success, abandoned
-    after d dead letters, or open with r retries and d dead letters, counters mattering up to their
-    limits only), so each slice is folded from all of them, and the outcomes are chained. Counters
-    are kept relative to the start of a slice, so documents beyond the limits fold alike.
+    Ids of at most ``slice_events`` events, nearly all, are dealt by id and folded whole, in one
+    shuffle. The events of the others are dealt into ranges of (id, time, sequence) of about that size
+    and folded range by range (``_fold_sliced``). Which ids these are is counted: first in hashed cells,
+    as small a result whatever the events, then by id in the cells that are above the limit.
     """
     step = _apply(max_retries, max_dlq)
     named = events.filter(F.col("match_id").isNotNull())
-    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = _heavy_ids(named, slice_events)
+    light = named if heavy is None else named.join(heavy, "match_id", "left_anti")
+    logs = _events(light, "match_id").groupBy("match_id").agg(F.sort_array(F.collect_list("event")).alias("log"))
+    whole = _with_prior(logs, prior)
+    folded = _documents(whole.withColumn("doc", F.aggregate("log", F.col("before"), step)), "doc")
+    if heavy is not None:
+        rest = named.join(heavy, "match_id", "left_semi")
+        folded = folded.unionByName(_fold_sliced(rest, prior, step, max_retries, max_dlq, slice_events))
+    if prior is None:
+        return folded
+    # Documents without new events stay as they are.
+    idle = prior.join(named.select("match_id").distinct(), "match_id", "left_anti")
+    types = {"retries": "bigint", "dlq_attempts": "bigint", **TYPES}
+    kept = [F.col(c) if c in prior.columns else F.lit(None).cast(types[c]).alias(c) for c in DOCUMENT[:-1]]
+    asked = F.coalesce("requeue", F.lit(False)) if "requeue" in prior.columns else F.lit(False)
+    return folded.unionByName(idle.select("match_id", *kept, asked.alias("requeue")))
+
+
+def _heavy_ids(named: DataFrame, slice_events: int) -> DataFrame | None:
+    """Ids of more than ``slice_events`` events; None where there is none."""
+    cell = F.pmod(F.xxhash64("match_id"), F.lit(CELLS))
+    full = named.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slice_events)
+    cells = [row.cell for row in full.select("cell").collect()]  # CELLS numbers at most
+    if not cells:
+        return None
+    # where most cells are full, looking them up would spare nothing
+    near = named if len(cells) > CELLS // 8 else named.withColumn("cell", cell).join(
+        F.broadcast(named.sparkSession.createDataFrame([(c,) for c in cells], "cell bigint")), "cell", "left_semi"
+    )
+    counted = near.groupBy("match_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slice_events)
+    heavy = scratch.save(counted.select("match_id"), "ledger-heavy")
+    return None if heavy.isEmpty() else heavy
+
+
+def _fold_sliced(
+    named: DataFrame, prior: DataFrame | None, step, max_retries: int, max_dlq: int, slice_events: int
+) -> DataFrame:
+    """Fold ids of many events in ranges of (id, time, sequence).
+
+    What a slice does depends on its start only through a few control states (settled as success,
+    abandoned after d dead letters, or open with r retries and d dead letters, counters mattering up
+    to their limits only), so each slice is folded from all of them, and the outcomes are chained.
+    Counters are kept relative to the start of a slice, so documents beyond the limits fold alike.
+    """
+    parts = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = max(parts, math.ceil(named.count() / slice_events))
     sliced = named.repartitionByRange(slices, "match_id", "event_time", "seq").withColumn("slice", F.spark_partition_id())
     # Saved, so that the sampled bounds of the ranges are the same wherever they are used.
@@ -220,16 +263,9 @@ def fold_ledger(
     )
     whole = _with_prior(logs.join(spread, "match_id", "left_anti").select("match_id", "log"), prior)
     folded = _documents(whole.withColumn("doc", F.aggregate("log", F.col("before"), step)), "doc")
-    if not spread.isEmpty():
-        folded = folded.unionByName(_fold_spread(logs.join(spread, "match_id"), prior, step, max_retries, max_dlq))
-    if prior is None:
+    if spread.isEmpty():
         return folded
-    # Documents without new events stay as they are.
-    idle = prior.join(named.select("match_id").distinct(), "match_id", "left_anti")
-    types = {"retries": "bigint", "dlq_attempts": "bigint", **TYPES}
-    kept = [F.col(c) if c in prior.columns else F.lit(None).cast(types[c]).alias(c) for c in DOCUMENT[:-1]]
-    asked = F.coalesce("requeue", F.lit(False)) if "requeue" in prior.columns else F.lit(False)
-    return folded.unionByName(idle.select("match_id", *kept, asked.alias("requeue")))
+    return folded.unionByName(_fold_spread(logs.join(spread, "match_id"), prior, step, max_retries, max_dlq))
 
 
 def _fold_spread(logs: DataFrame, prior: DataFrame | None, step, max_retries: int, max_dlq: int) -> DataFrame:
