@@ -17,11 +17,12 @@ def player_results(
     patch_pattern: str = config.PATCH_PATTERN,
     top: int = config.TOP_PLACEMENT,
     as_of: Column | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per player and match. Matches without participants give no rows.
 
     ``staged`` carries the participants as JSON text, or as an array where the reader has
-    taken the documents apart already.
+    taken the documents apart already. ``keep`` names further columns to carry.
     """
     if "participants" in staged.columns:
         participants = F.col("participants")
@@ -33,6 +34,7 @@ def player_results(
         "tft_set_number",
         "ingestion_date",
         patch_of(F.col("game_version"), patch_pattern).alias("patch"),
+        *keep,
         F.explode(participants).alias("p"),
     )
     placement = F.col("p.placement").cast("bigint")
@@ -58,6 +60,7 @@ def player_results(
         F.col("p.units").alias("units_json"),
         F.col("p.companion.species").alias("companion_species"),
         audit_time(as_of).alias("dbt_updated_at"),
+        *keep,
     )
 
 

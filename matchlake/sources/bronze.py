@@ -10,42 +10,21 @@ from pyspark.sql import functions as F
 from matchlake import config, schemas
 from matchlake.operators.ranking import top_per_group
 from matchlake.sources import files, partitions, scratch
+from matchlake.sources.copies import Copies, bounded, content_digest, document_key, match_id_of
 
 
 def _columns(df: DataFrame) -> DataFrame:
     return df.select("metadata", "info", "date", F.col("_metadata.file_path").alias("source_file"))
 
 
-def _newest(df: DataFrame, key: Column, date_column: str) -> DataFrame:
-    """The last copy of every document of a date: that of the newest file.
-
-    A document that came again, changed, was appended in a further file (``write_bronze``).
-    """
-    order = [F.col("_file_time").desc(), F.col("source_file").desc()]
-    ranked = top_per_group(df.withColumn("_key", key), [date_column, "_key"], order)
-    return ranked.drop("_key", "_file_time")
-
-
-def document_key(metadata: Column, info: Column) -> Column:
-    """The match id; documents without one go by their content."""
-    content = F.concat_ws("", F.lit("#"), F.sha2(F.concat_ws("|", metadata, info), 256))
-    return F.coalesce(match_id_of(metadata), content)
-
-
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """``metadata, info`` as JSON text, ``date`` from the folder, ``source_file``.
 
-    Filters on ``date`` prune folders. A malformed line raises.
+    Of a document that came again, changed, on its date the last copy is read, as far as ``write_bronze``
+    has recorded it. Filters on ``date`` prune folders. A malformed line raises.
     """
-    lines = spark.read.schema(schemas.BRONZE).option("mode", "FAILFAST").json(root)
-    documents = lines.select(
-        "metadata",
-        "info",
-        "date",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("_file_time"),
-    )
-    return _newest(documents, document_key(F.col("metadata"), F.col("info")), "date")
+    documents = _columns(spark.read.schema(schemas.BRONZE).option("mode", "FAILFAST").json(root))
+    return Copies(spark, root).drop(documents, document_key(F.col("metadata"), F.col("info")), "date")
 
 
 def read_matches(spark: SparkSession, root: str) -> DataFrame:
@@ -55,8 +34,7 @@ def read_matches(spark: SparkSession, root: str) -> DataFrame:
     the text each. Here the file reader yields the participants directly.
     """
     matches = _matches(spark.read.schema(schemas.DOCUMENT).option("mode", "FAILFAST").json(root))
-    again = matches.withColumn("_file_time", F.col("file_time"))
-    return _newest(again, F.col("match_id"), "ingestion_date")
+    return Copies(spark, root).drop(matches, F.col("match_id"), "ingestion_date")
 
 
 def latest_matches(matches: DataFrame) -> DataFrame:
@@ -107,16 +85,6 @@ def stream_bronze(
     return documents.withColumn("match_id", match_id_of(F.col("metadata"))).dropDuplicates(["match_id"])
 
 
-def match_id_of(metadata: Column) -> Column:
-    return F.from_json(metadata, schemas.METADATA)["match_id"]
-
-
-def json_blocks() -> list[Column]:
-    """The two blocks as they come out of a line of a file."""
-    flat = lambda name: F.translate(name, "\r\n", "  ").alias(name)
-    return [flat("metadata"), flat("info")]
-
-
 def json_lines(df: DataFrame) -> DataFrame:
     """One line of JSON text per document, beside its ``date``."""
     block = lambda name: F.translate(F.coalesce(name, F.lit("null")), "\r\n", "  ")
@@ -131,27 +99,36 @@ def write_bronze(
 
     New and changed documents are appended in files of their own, unchanged ones are left
     out; readers take the copy of the newest file. Files once written stay as they are, so a
-    file stream loads a document again only where it has changed. ``order`` says which of
+    file stream loads a document again only where it has changed. What is there already is
+    known from a narrow index (``copies``), not from the documents. ``order`` says which of
     several copies in ``df`` is the last (largest first); without it the choice is arbitrary
     but repeatable. Documents without a match id go by their content. Documents share files,
     so a day of many small documents is a few large files. Without a column ``date`` the
-    documents go to the UTC date of ``as_of``, or of now.
+    documents go to the UTC date of ``as_of``, or of now. A folder has one writer at a time;
+    between the last file and its record a reader may see both copies of a changed document.
     """
     spark = df.sparkSession
     if "date" not in df.columns:
         df = df.withColumn("date", F.to_date(F.current_timestamp() if as_of is None else as_of))
-    key, content = document_key(F.col("metadata"), F.col("info")), F.sha2(F.concat_ws("|", "metadata", "info"), 256)
+    flat = df.withColumns({"metadata": F.translate("metadata", "\r\n", "  "), "info": F.translate("info", "\r\n", "  ")})
+    key, content = (make(F.col("metadata"), F.col("info")) for make in (document_key, content_digest))
+    docs = scratch.save(flat.withColumns({"_key": key, "_content": content}), "bronze")
     if order is None:
         order = [F.xxhash64("metadata", "info").desc()]
-    last = top_per_group(df.withColumn("_key", key), ["date", "_key"], order).withColumn("_content", content)
-    last = scratch.save(last.select("metadata", "info", "date", "_key", "_content"), "bronze")
+    # Whole documents are only dealt where some came twice.
+    if not docs.groupBy("date", "_key").count().filter("count > 1").isEmpty():
+        docs = top_per_group(docs, ["date", "_key"], order)
+    dates = partitions.partition_values(docs, "date")
+    copies = Copies(spark, root)
     if files.has_data(spark, root):
-        dates = partitions.partition_values(last, "date")
-        known = read_bronze(spark, root).filter(partitions.touched("date", dates)).select(*json_blocks(), "date")
-        known = known.select(F.col("date").alias("_date"), key.alias("_known"), content.alias("_same"))
-        same = F.col("date").eqNullSafe(F.col("_date")) & (F.col("_key") == F.col("_known")) & (F.col("_content") == F.col("_same"))
-        last = last.select(*json_blocks(), "date").withColumn("_key", key).withColumn("_content", content).join(known, same, "left_anti")
-    json_lines(last).hint("rebalance", "date").write.mode("append").partitionBy("date").text(root)
+        copies.record(dates)
+        known = copies.newest(dates)
+        if known is not None:
+            known = known.select(F.col("date").alias("_date"), F.col("key").alias("_known"), F.col("content").alias("_same"))
+            same = F.col("date").eqNullSafe(F.col("_date")) & (F.col("_key") == F.col("_known")) & (F.col("_content") == F.col("_same"))
+            docs = docs.join(bounded(known), same, "left_anti")
+    json_lines(docs).hint("rebalance", "date").write.mode("append").partitionBy("date").text(root)
+    copies.record(dates)
 
 
 def bronze_partition_counts(bronze: DataFrame, n: int = 5) -> DataFrame:
@@ -173,5 +150,6 @@ def expire_bronze(
         day = date.fromisoformat(name.removeprefix("date="))
         if day < limit:
             files.remove(spark, f"{root}/{name}")
+            files.remove(spark, f"{root}/_copies/index/{name}")
             gone.append(day)
     return gone

@@ -95,6 +95,23 @@ def test_a_ledger_batch_reads_its_own_ids_only(spark, tmp_path):
     assert text.index("Window") < text.index("LeftSemi")  # the join lies below the window
 
 
+def test_bronze_is_read_without_shuffling_documents(spark, small, tmp_path):
+    from matchlake.sources import bronze
+
+    documents, root = fx.documents(fx.Tables(spark, small)), str(tmp_path / "bronze")
+    changed = documents.withColumn("info", F.regexp_replace("info", '"placement":[0-9]+', '"placement":8'))
+    bronze.write_bronze(documents, root)
+    for read in (bronze.read_bronze, bronze.read_matches):
+        assert "Exchange" not in plan(read(spark, root)) and "Join" not in plan(read(spark, root))
+    bronze.write_bronze(changed.filter("date = '2024-01-03'"), root)
+    assert bronze.read_bronze(spark, root).count() == documents.count()
+    for read in (bronze.read_bronze, bronze.read_matches):
+        text = plan(read(spark, root))
+        # the one exchange sends the narrow list of replaced copies to the tasks
+        assert text.count("Exchange") == 1 and "BroadcastExchange" in text
+        assert "Window" not in text
+
+
 STORING = {"upsert_table", "bronze_round_trip", "medallion_refresh", "incremental_refresh", "stream_ledger", "full_refresh_table", "sync_columns_table", "expire_bronze", "stream_dedupe", "changed_documents_refresh", "medallion_players"}
 
 
