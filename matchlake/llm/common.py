@@ -77,6 +77,11 @@ def replace_columns(frame: DataFrame, packed: str, made: list[str]) -> DataFrame
     return frame.select(*kept, *made)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits of a text, by which rows of one id are told apart; NULL counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def pack(frame: DataFrame, name: str = "_row") -> Column:
     """All columns of ``frame`` as one struct, so that new columns clash with none."""
     return F.struct(*[F.col(f"`{x}`") for x in frame.columns]).alias(name)

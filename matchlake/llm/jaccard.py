@@ -36,8 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlake.llm import textscan
-from matchlake.llm.common import Scratch, bounded
+from matchlake.llm import sketch, textscan
+from matchlake.llm.common import Scratch, bounded, pack, text_key
 
 PERCENT = 80
 SHINGLE = 5
@@ -76,9 +76,13 @@ def _sets(texts: pa.Array, size: int) -> Iterator[list[np.ndarray]]:
         yield textscan.shingle_sets(data, offsets, size)
 
 
-def shingle_classes(docs: DataFrame, size: int = SHINGLE, with_set: bool = False) -> DataFrame:
-    """doc_id, n (distinct shingles), hi and lo (digest; NULL for an empty set), the set and its parity bits."""
-    schema = "doc_id long, n long, hi long, lo long" + (", shingles array<long>, bits array<long>" if with_set else "")
+def shingle_classes(docs: DataFrame, size: int = SHINGLE, with_set: bool = False, with_key: bool = False) -> DataFrame:
+    """doc_id, n (distinct shingles), hi and lo (digest; NULL for an empty set), the set and its parity bits.
+
+    ``with_key`` adds ``key``, which tells texts of one id apart.
+    """
+    schema = "doc_id long, n long, hi long, lo long" + (", key binary" if with_key else "")
+    schema += ", shingles array<long>, bits array<long>" if with_set else ""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,13 +95,16 @@ def shingle_classes(docs: DataFrame, size: int = SHINGLE, with_set: bool = False
                     pa.array([x[0] for x in digests], pa.int64()),
                     pa.array([x[1] for x in digests], pa.int64()),
                 ]
+                if with_key:
+                    columns.append(batch.column(2).slice(at, len(sets)))
                 at += len(sets)
                 if with_set:
                     columns += [textscan.list_column(sets), textscan.list_column([_parity(x) for x in sets])]
                 yield pa.RecordBatch.from_arrays(columns, names=schema_names)
 
     schema_names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select("doc_id", "text").mapInArrow(scan, schema)
+    keys = [text_key(F.col("text")).alias("key")] if with_key else []
+    return docs.select("doc_id", "text", *keys).mapInArrow(scan, schema)
 
 
 def _entries(shingle: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -392,7 +399,17 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, size: int = S
     one, or NULL. Extra columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
-    table = scratch.save(shingle_classes(docs, size), "table")
+    table, reps = _grouped(docs, scratch, percent, size, max_level)
+    found = reps.select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo"), "component")
+    joined = table.join(found, (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo")), "left")
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def _grouped(
+    docs: DataFrame, scratch: Scratch, percent: int, size: int, max_level: int, with_key: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Every row's class, and for each class (hi, lo) its component: a number, and its smallest id."""
+    table = scratch.save(shingle_classes(docs, size, with_key=with_key), "table")
     classes = scratch.save(
         table.where("n > 0").groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep")), "classes"
     )
@@ -410,20 +427,50 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, size: int = S
     linked = grouped.where("node IS NOT NULL")
     smallest = linked.groupBy("comp").agg(F.min("rep").alias("least"))
     reps = scratch.save(
-        linked.join(smallest, "comp").select("hi", "lo", F.col("least").alias("component"))
-        .unionByName(grouped.where("node IS NULL").select("hi", "lo", F.col("rep").alias("component"))),
+        linked.join(smallest, "comp").select("hi", "lo", "comp", F.col("least").alias("component"))
+        .unionByName(grouped.where("node IS NULL").select("hi", "lo", "comp", F.col("rep").alias("component"))),
         "reps",
     )
-    found = reps.select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo"), "component")
-    joined = table.join(found, (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo")), "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, and those without words.
-
-    Rows that repeat such an id stay together, unless they repeat the whole row.
+    return table, reps
+
+
+def keep_one(
+    docs: DataFrame,
+    percent: int = PERCENT,
+    size: int = SHINGLE,
+    max_level: int = MAX_LEVEL,
+    hot_rows: int = sketch.HOT_ROWS,
+) -> DataFrame:
+    """One row of ``docs`` of each group of near duplicates, and all rows without words.
+
+    The row with the smallest id stays, rows without id coming last; of several texts of that id the
+    one with the smallest digest, of rows that repeat id and text any one. So of every group exactly one
+    row is left, whatever its ids. Rows with an empty or NULL text are linked with nothing and
+    stay. Columns may have any names.
     """
-    groups = near_duplicate_groups(docs.select("doc_id", "text"), **options)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    scratch = Scratch(docs.sparkSession, "keep")
+    table, reps = _grouped(docs, scratch, percent, size, max_level, with_key=True)
+    texts = scratch.save(
+        table.where("n > 0").groupBy("doc_id", "key", "hi", "lo").agg(F.count(F.lit(1)).alias("rows")), "texts"
+    )
+    # the first text of each class, then of each component, NULL ids last
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+    classes = texts.groupBy("hi", "lo").agg(first, F.count(F.lit(1)).alias("_n"))
+    classes = scratch.save(classes.join(reps.select("hi", "lo", "comp"), ["hi", "lo"]), "class-firsts")
+    wins = classes.groupBy("comp").agg(F.min("first").alias("win"), F.count(F.lit(1)).alias("_classes"))
+    winners = scratch.save(wins.select("comp", "win", "_classes"), "winners")
+    judged = sketch.attach(classes, winners, ["comp"], "_classes", "inner", hot_rows)
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    judged = sketch.attach(texts, judged.select("hi", "lo", "win", "_n"), ["hi", "lo"], "_n", "inner", hot_rows)
+    marked = scratch.save(judged.select("doc_id", "key", "rows", (own == F.col("win")).alias("wins")), "marked")
+
+    keyed = docs.select(pack(docs), F.col("doc_id").alias("_id"), text_key(F.col("text")).alias("_key"))
+    key_of = lambda frame: frame.select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"))
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))
+    left = keyed.join(bounded(key_of(marked.where("NOT wins"))), same, "left_anti")
+    again = scratch.save(key_of(marked.where("wins AND rows > 1")), "again")
+    if again.isEmpty():
+        return left.select("_row.*")
+    again = bounded(again)
+    once = left.join(again, same, "left_semi").groupBy("_id", "_key").agg(F.first("_row").alias("_row"))
+    return left.join(again, same, "left_anti").select("_row.*").unionByName(once.select("_row.*"))

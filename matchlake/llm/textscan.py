@@ -7,6 +7,7 @@ odd factors fixed by a seed; equal byte strings have equal hashes in every run.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _UNBASE = pow(_BASE, -1, 2**64)
 _PIECE = 1 << 20
 _powers: list[np.ndarray] = []
+#: Longer ranges are hashed by blake2b: sums of powers modulo 2**64 are alike for some
+#: different byte strings (Thue-Morse sequences) of 1,024 bytes and more.
+LONG_RANGE = 512
 #: Texts are scanned in runs of about so many bytes.
 RUN_BYTES = 1 << 20
 
@@ -89,6 +93,10 @@ def hash_ranges(
         i = j
         if len(_powers[0]) > 4 * _PIECE:
             _powers.clear()
+    for i in np.flatnonzero(ends - starts > LONG_RANGE):
+        raw = data[starts[i] : ends[i]].tobytes()
+        raw = raw.lower() if table is LOWER else raw  # of bytes: A-Z only
+        out[i] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
     return mix(out)
 
 

@@ -129,8 +129,40 @@ def test_odd_rows(spark):
     assert jaccard.near_duplicate_groups(odd.no_docs(spark)).count() == 0
     one = jaccard.keep_one(docs)
     assert one.columns == docs.columns
-    # rows without an id or without words stay, and all rows of the smallest id of a group
-    assert Counter(r.doc_id for r in one.collect()) == Counter([1, 2, None, 3, 4, 4, 4, 5, 6, 7])
+    # rows without words stay, and one row of every group: that of the only id its four rows have
+    assert Counter(r.doc_id for r in one.collect()) == Counter([1, 2, 3, 4, 5, 6, 7])
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1000])
+def test_one_row_of_each_group_stays_whatever_its_ids(spark, hot_rows):
+    p, o = odd.PLAIN, " ".join(f"other{i}" for i in range(60))
+    near, q = o.replace("other59", "changed"), "a third text that stands quite alone and has no copy"
+    rows = [(1, p), (2, p), (2, o), (None, p), (4, near), (4, near), (None, q), (None, q), (3, None), (3, None), (None, "")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, place int")
+    for name in ("_gone", "_row", "key", "hi", "_id", "wins"):
+        docs = docs.withColumn(name, docs.place)
+    left = jaccard.keep_one(docs, hot_rows=hot_rows)
+    assert left.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in left.collect())
+    assert got == Counter([(1, p), (2, o), (None, q), (3, None), (3, None), (None, "")])
+    assert all(r["_row"] == r.place == r.key for r in left.collect())
+
+
+def test_long_words_of_one_polynomial_hash_stay_apart():
+    """Thue-Morse strings: alike for any sum of powers modulo 2**64, yet different."""
+    import numpy as np
+
+    from matchlake.llm import textscan
+
+    a = b"a"
+    for _ in range(12):
+        a += a.translate(bytes.maketrans(b"ab", b"ba"))
+    b = a.translate(bytes.maketrans(b"ab", b"ba"))
+    for size in (1024, 2048, 4096):
+        data = np.frombuffer(a[:size] + b[:size] + a[:size].upper(), np.uint8)
+        starts = np.arange(3) * size
+        plain, low = (textscan.hash_ranges(data, starts, starts + size, t) for t in (textscan.PLAIN, textscan.LOWER))
+        assert len(set(plain)) == 3 and low[0] == low[2] != low[1]
 
 
 def test_components_of_a_long_chain(spark):
