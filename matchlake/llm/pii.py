@@ -17,6 +17,7 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
@@ -24,7 +25,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import Scratch
+from matchlake.llm.common import Scratch, text_key
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_FALSE = 0.02
@@ -49,7 +50,7 @@ _GENERATORS = (
     re.compile(r"(?<!\w)(?:\+|\()?[0-9][0-9\x20().\-/]{5,18}[0-9](?!\w)"),
 )
 _DIGIT = re.compile(r"[0-9]")
-_SPELLED = re.compile(r"@|dot|\(at\)|\[at\]|\{at\}", re.IGNORECASE)
+_SPELLED = re.compile(r"@|\bat\b", re.IGNORECASE)
 _GROUP = re.compile(r"[0-9]+")
 _ASCII_DIGITS = frozenset("0123456789")
 
@@ -194,7 +195,7 @@ def _damaged(kind: int, span: str, rng: random.Random) -> str:
 
 _SPAN = "struct<kind:int, start:int, stop:int>"
 _CASE = "struct<kind:int, start:int, stop:int, label:int, features:array<double>>"
-_SCAN = f"doc_id long, base array<{_SPAN}>, cases array<{_CASE}>"
+_SCAN = f"base array<{_SPAN}>, cases array<{_CASE}>"
 
 
 def _scan_text(text: str) -> tuple[list[dict], list[dict]]:
@@ -208,8 +209,9 @@ def _scan_text(text: str) -> tuple[list[dict], list[dict]]:
 
     taken = sorted((a, b) for _, a, b in base)
     starts = [a for a, _ in taken]
+    reach = list(accumulate((b for _, b in taken), max))
     for kind, start, stop in proposals(text):
-        if not _overlaps(taken, starts, start, stop):
+        if not _overlaps(starts, reach, start, stop):
             case(kind, start, stop, 0 if plausible(kind, text[start:stop]) else 2, text[start:stop])
     for kind, start, stop in base:
         rng = random.Random(zlib.crc32(text[start:stop].encode()) * 31 + start)
@@ -222,11 +224,10 @@ def _scan_text(text: str) -> tuple[list[dict], list[dict]]:
     return [{"kind": k, "start": a, "stop": b} for k, a, b in base], cases
 
 
-def _overlaps(taken: list[tuple[int, int]], starts: list[int], start: int, stop: int) -> bool:
-    """Whether [start, stop) meets a base span; spans of different kinds may overlap each other."""
+def _overlaps(starts: list[int], reach: list[int], start: int, stop: int) -> bool:
+    """Whether [start, stop) meets a base span; ``reach`` is the furthest end of the spans so far."""
     i = bisect.bisect_left(starts, stop)
-    # base spans are few at one place: at most one of each kind covers it
-    return any(taken[j][1] > start for j in range(max(0, i - 8), i))
+    return i > 0 and reach[i - 1] > start
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +302,9 @@ def find_personal_data(
     nothing to learn from. Repeated ids and rows each give a row. Extra columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "pii")
-    scanned = docs.select("doc_id", "text").mapInArrow(_scan, _SCAN).withColumn("_at", F.monotonically_increasing_id())
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    found = docs.select("doc_id", "text").mapInArrow(_scan, f"doc_id {id_type}, {_SCAN}")
+    scanned = found.withColumn("_at", F.monotonically_increasing_id())
     table = scratch.save(scanned, "scanned")
     cases = table.where("size(cases) > 0").select("_at", F.explode("cases").alias("c")).select("_at", "c.*")
     added = _added(cases, scratch, max_false, train_rows, seed)
@@ -323,8 +326,16 @@ def spans_text(column: str) -> str:
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """doc_id and the text with every span replaced by its kind in brackets."""
-    found = find_personal_data(docs, **options).select(F.col("doc_id").alias("_id"), "spans").where("size(spans) > 0")
+    """doc_id and the text with every span replaced by its kind in brackets.
+
+    Spans belong to a text, whatever its id: rows without an id, and different texts of one id, are
+    each cut by their own spans. Every row of ``docs`` gives one row; a NULL text stays NULL.
+    """
+    keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("_key"))
+    named = keyed.select(F.struct("doc_id", "_key").alias("doc_id"), "text")
+    found = find_personal_data(named, **options).where("size(spans) > 0").select(
+        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id._key").alias("_text"), "spans"
+    )
     # of overlapping spans the text is cut once, from the first start to the last end
     merged = F.expr(
         "aggregate(sort_array(transform(spans, x -> named_struct('start', x.start, 'stop', x.stop, 'kind', x.kind))), "
@@ -339,6 +350,8 @@ def redact(docs: DataFrame, **options) -> DataFrame:
         f"'out', concat(s.out, substring(text, s.at + 1, x.start - s.at), {names}[x.kind]))).out, "
         "substring(text, element_at(cuts, -1).stop + 1, length(text)))"
     )
-    once = found.dropDuplicates(["_id", "spans"]).withColumn("cuts", merged)
-    joined = docs.select("doc_id", "text").join(once, F.col("doc_id") == F.col("_id"), "left")
+    # equal texts have equal spans
+    once = found.groupBy("_id", "_text").agg(F.first("spans").alias("spans")).withColumn("cuts", merged)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
+    joined = keyed.join(once, same, "left")
     return joined.select("doc_id", F.when(F.col("cuts").isNotNull(), cut).otherwise(F.col("text")).alias("text"))

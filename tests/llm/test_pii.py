@@ -87,6 +87,30 @@ def test_spelled_out_forms_are_added_and_plain_numbers_are_not(spark):
     assert red[1001] == dict(_corpus())[1001] or got[1001][1]
 
 
+def test_every_row_is_cut_by_its_own_spans(spark):
+    rows = [(None, "mail a@b.cd now"), (1, "clean words only here"), (1, "mail a@b.cd now"), (1, "mail a@b.cd now"), (2, None), (None, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    red = sorted(((r.doc_id, r.text) for r in pii.redact(docs).collect()), key=str)
+    cut = "mail [email] now"
+    assert red == sorted([(None, cut), (1, rows[1][1]), (1, cut), (1, cut), (2, None), (None, "clean")], key=str)
+
+
+def test_a_long_span_is_seen_behind_many_short_ones():
+    text = ".".join(["1.2.3.4"] * 12) + ".x@example.org"
+    base = pii.base_spans(text)
+    starts, reach = [], []
+    for _, a, b in sorted(base, key=lambda x: x[1]):
+        starts.append(a)
+        reach.append(max([b, *reach[-1:]]))
+    assert len(base) > 9
+    assert pii._overlaps(starts, reach, len(text) - 4, len(text)) and not pii._overlaps(starts, reach, len(text), len(text) + 1)
+
+
+def test_the_word_at_is_enough_for_a_proposal():
+    for text in ("write to jane at example.org", "an anecdotal note: jane at example.org"):
+        assert any(kind == 0 and text[a:b].endswith("jane at example.org") for kind, a, b in pii.proposals(text))
+
+
 def test_odd_rows(spark):
     docs = odd.docs(spark)
     got = pii.find_personal_data(docs).collect()
