@@ -30,7 +30,9 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 UNITS_PER_BLOCK = 2_000
 #: Units left for the landing problem beside the two that the flight can't settle.
-LANDING = 10
+LANDING = 12
+#: Units by which landing may miss the expected number of documents.
+NEAR = 4
 EDGE = 1e-9
 
 
@@ -126,8 +128,8 @@ def flight(sizes: np.ndarray, counts: np.ndarray, chances: np.ndarray, rng: np.r
 def land(sizes: np.ndarray, counts: np.ndarray, chances: np.ndarray) -> np.ndarray:
     """Settle the last few units: all outcomes are compared.
 
-    Those that keep the number of documents within one of its expectation come first, and of
-    them the one whose words are nearest.
+    Those that keep the number of documents within ``NEAR`` of its expectation come first, and of
+    them the one whose words are nearest: one long document weighs as much as a few short ones.
     """
     left = np.flatnonzero((chances > 0) & (chances < 1))
     out = chances.copy()
@@ -136,14 +138,19 @@ def land(sizes: np.ndarray, counts: np.ndarray, chances: np.ndarray) -> np.ndarr
     outcomes = (np.arange(2 ** len(left))[:, None] >> np.arange(len(left)) & 1).astype(float)
     off = outcomes - chances[left]
     documents = np.abs(off @ counts[left])
-    best = np.lexsort((documents, np.abs(off @ sizes[left]), documents >= counts[left].max()))[0]
+    best = np.lexsort((documents, np.abs(off @ sizes[left]), documents > NEAR * counts[left].max()))[0]
     out[left] = outcomes[best]
     return out
 
 
 def _settle(seed: int, last: bool):
     def settle(units: pd.DataFrame) -> pd.DataFrame:
-        units = units.sort_values(["_order", "_size", "_mark"], kind="stable").reset_index(drop=True)
+        # the largest fly first; those left to land are of many sizes, from the median down
+        units["_words"] = units["_size"] * units["_n"]
+        units = units.sort_values(["_words", "_order", "_mark"], ascending=[False, True, True], kind="stable")
+        landing = np.unique(np.linspace(len(units) // 2, len(units) - 1, LANDING).astype(int))
+        flying = np.setdiff1d(np.arange(len(units)), landing)
+        units = units.iloc[np.concatenate([flying, landing])].reset_index(drop=True).drop(columns="_words")
         rng = np.random.default_rng([seed, int(units["_block"].iloc[0]) % 2**32, len(units)])
         chances = flight(units["_size"].to_numpy() * units["_n"].to_numpy(), units["_n"].to_numpy(), units["_chance"].to_numpy(), rng, LANDING if last else 0)
         if last:

@@ -73,6 +73,18 @@ def test_flight_is_fair():
     assert np.all(abs(hits / 2000 - 0.5) < 0.06)
 
 
+def test_a_source_of_many_units_meets_its_target(spark):
+    """Some units are large; no unit is over 1% of the target."""
+    rows = [(i, f"s{i % 3}", "w " * (300 if i % 10 == 0 else 40 + i % 50)) for i in range(1800)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    taken, target = {}, {}
+    source = dict((i, s) for i, s, _ in rows)
+    for r in mixing.mix_table(docs).collect():
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+        target[source[r.doc_id]] = r.target
+    assert all(abs(taken[s] - target[s]) < 0.001 * target[s] for s in taken), (taken, target)
+
+
 def test_many_blocks_and_rounds(spark):
     rows = [(i, f"s{i % 2}" if i % 10 else None, "w " * (1 + i % 37)) for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
