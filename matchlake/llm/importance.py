@@ -23,6 +23,8 @@ from matchlake.llm.common import Scratch, bounded, number_rows
 
 BITS = 17
 CHUNK = 2048
+#: Groups of input tasks whose counts are added first.
+DEALS = 512
 HOLDOUT = 5
 KEEP_GOOD = 0.95
 #: Added to each bucket's count, times its share of the raw model.
@@ -62,7 +64,11 @@ def _models(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         return pd.DataFrame({"chunk": frame["chunk"].iloc[:1].to_list(), **sums})
 
     schema = "chunk long, raw array<long>, good array<long>"
-    sums = docs.select("text", "_target").mapInArrow(count, schema).groupBy("chunk").applyInPandas(add, schema)
+    parts = docs.select("text", "_target").mapInArrow(count, schema)
+    # in two steps, so that no task stacks the counts of all input tasks
+    dealt = parts.withColumn("deal", F.spark_partition_id() % DEALS)
+    some = dealt.groupBy("chunk", "deal").applyInPandas(lambda frame: add(frame.drop(columns="deal")), schema)
+    sums = some.groupBy("chunk").applyInPandas(add, schema)
     raw, good = np.zeros(rows * CHUNK), np.zeros(rows * CHUNK)
     for row in sums.toLocalIterator():  # as many numbers as there are buckets
         place = slice(row.chunk * CHUNK, (row.chunk + 1) * CHUNK)

@@ -54,7 +54,8 @@ class Automaton:
             entry[node] = bool(token)
         n = len(children)
         self.step = np.zeros((n, 256), np.int32)
-        self.popped = np.zeros((n, 256), np.uint8)
+        # a node pops no more pieces than it has bytes
+        self.popped = np.zeros((n, 256), np.uint8 if max(depth) < 255 else np.uint32)
         fail, pops = np.zeros(n, np.int32), np.zeros(n, np.int32)
         self.rest = np.zeros(n, np.int32)
         levels = np.array(depth)

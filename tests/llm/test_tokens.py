@@ -36,6 +36,13 @@ def test_automaton_against_longest_match():
             assert got == plain_count(entries, 7, word)
 
 
+def test_more_than_a_byte_of_pieces_popped_at_once():
+    machine = tokens.Automaton([b" ", b"a" * 300, b" " + b"a" * 299 + b"c"])
+    word = b"a" * 299 + b"b"
+    got = machine.count(np.frombuffer(word, np.uint8), np.array([0]), np.array([300]))[0]
+    assert got == plain_count({b" ", b"a" * 300, b" " + b"a" * 299 + b"c"}, 301, word) == 301
+
+
 def test_query_against_longest_match(spark, small, vocabulary):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     seen = {}
