@@ -63,14 +63,58 @@ def win_rate_rollup(
     )
 
 
+def rate_sums(df: DataFrame, keys: list[str]) -> DataFrame:
+    """What rates are made of, per group: sums, which can be added up further."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("games"),
+        F.count_if("top4").alias("top4s"),
+        F.count_if("win").alias("wins"),
+        F.sum("placement").alias("placements"),
+        F.count("placement").alias("placed"),
+    )
+
+
+def rates_of_sums(
+    sums: DataFrame, keys: list[str], min_games: int = 1, min_tier_games: int = config.MIN_TIER_GAMES
+) -> DataFrame:
+    """``win_rate_rollup`` of the rows that ``rate_sums`` has summed, in however many parts."""
+    added = sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("games", "top4s", "wins", "placements", "placed")])
+    added = added.filter(F.col("games") >= min_games)
+    rate = lambda part: round2(F.col(part) / F.col("games") * 100)
+    placement = F.when(F.col("placed") > 0, F.col("placements").cast("double") / F.col("placed"))
+    return added.select(
+        *keys,
+        F.col("games").alias("total_games"),
+        F.col("top4s").alias("total_top4"),
+        F.col("wins").alias("total_wins"),
+        rate("top4s").alias("top4_rate"),
+        rate("wins").alias("win_rate"),
+        round2(placement).alias("avg_placement"),
+        performance_tier(F.col("games"), rate("top4s"), min_tier_games).alias("tier_winrate"),
+    )
+
+
+UNIT_KEYS = ["tft_set_number", "patch", "character_id", "tier", "rarity"]
+COMP_KEYS = ["tft_set_number", "patch", "champions", "primary_trait"]
+ITEM_KEYS = ["tft_set_number", "patch", "character_id", "items", "item_combo_size"]
+
+
+def units_once(units: DataFrame, *carry: str) -> DataFrame:
+    """A row per player, champion, star level and rarity."""
+    return units.select(*PLAYER, *carry, "character_id", "tier", "rarity").distinct()
+
+
 def unit_winrate(
     units: DataFrame, min_games: int = config.MIN_UNIT_GAMES, base: str = config.ASSET_BASE
 ) -> DataFrame:
     """Rates per champion, star level and rarity; equal copies of a player count once."""
-    keys = ["tft_set_number", "patch", "character_id", "tier", "rarity"]
-    once = units.select(*PLAYER, "character_id", "tier", "rarity").distinct()
+    return shaped_units(win_rate_rollup(units_once(units), UNIT_KEYS, min_games), base)
+
+
+def shaped_units(rates: DataFrame, base: str = config.ASSET_BASE) -> DataFrame:
+    """Names and icons beside the rates of ``UNIT_KEYS``."""
     champion = F.col("character_id")
-    return win_rate_rollup(once, keys, min_games).select(
+    return rates.select(
         "tft_set_number",
         "patch",
         "character_id",
@@ -104,14 +148,14 @@ def rank_units(units: DataFrame) -> DataFrame:
     )
 
 
-def core_units(units: DataFrame) -> DataFrame:
+def core_units(units: DataFrame, *carry: str) -> DataFrame:
     """The composition of every player and match: its champions, sorted, copies kept.
 
     A group is one player's board. Everything derived from the champions (key, display
     text, icon addresses) is left to the end, where one row per composition is left.
     """
     champions = F.sort_array(F.collect_list("character_id"))
-    return units.groupBy(*PLAYER).agg(champions.alias("champions"))
+    return units.groupBy(*PLAYER, *carry).agg(champions.alias("champions"))
 
 
 def core_size(champions: Column) -> Column:
@@ -130,18 +174,25 @@ def core_comp_winrate(
 
     Players without an active trait keep a NULL primary trait.
     """
+    return shaped_comps(win_rate_rollup(played_comps(units, traits), COMP_KEYS, min_games), slots, base)
+
+
+def played_comps(units: DataFrame, traits: DataFrame, *carry: str) -> DataFrame:
+    """The board of every player with its primary trait."""
     # Dealt once: the grouping, the window over traits and the join all keep this partitioning.
     player = ["match_id", "puuid"]
-    boards, active = core_units(units.repartition(*player)), primary_trait(traits.repartition(*player))
-    played = boards.join(active, player, "left")
-    keys = ["tft_set_number", "patch", "champions", "primary_trait"]
+    boards, active = core_units(units.repartition(*player), *carry), primary_trait(traits.repartition(*player))
+    return boards.join(active, player, "left")
+
+
+def shaped_comps(rates: DataFrame, slots: int = config.COMP_SLOTS, base: str = config.ASSET_BASE) -> DataFrame:
+    """Keys, texts and icons of the compositions beside the rates of ``COMP_KEYS``."""
     champions = F.col("champions")
     names = F.transform(champions, lambda c: strip_set_prefix(c, anywhere=True))
     icons = F.transform(champions, lambda c: icon_url(c, "champions", base))
     separator = config.UNIT_SEPARATOR
     return (
-        win_rate_rollup(played, keys, min_games)
-        .withColumn("_icons", icons)
+        rates.withColumn("_icons", icons)
         .select(
             "tft_set_number",
             "patch",
@@ -158,7 +209,7 @@ def core_comp_winrate(
 
 
 def item_builds(
-    units: DataFrame, min_items: int = config.MIN_ITEMS, per_copy: bool = False
+    units: DataFrame, min_items: int = config.MIN_ITEMS, per_copy: bool = False, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """The sorted items a champion carried, per player and match.
 
@@ -171,6 +222,7 @@ def item_builds(
         F.col("item_names_json").isNotNull() & (F.col("item_count") >= max(min_items, 1))
     ).select(
         *PLAYER,
+        *carry,
         "character_id",
         F.col("item_count").alias("item_combo_size"),
         *(["unit_key"] if per_copy else []),
@@ -191,12 +243,15 @@ def item_combo_winrate(
     base: str = config.ASSET_BASE,
 ) -> DataFrame:
     """Rates per champion and item build, the order of items not mattering."""
-    keys = ["tft_set_number", "patch", "character_id", "items", "item_combo_size"]
+    return shaped_items(win_rate_rollup(item_builds(units, min_items, per_copy), ITEM_KEYS, min_games), slots, base)
+
+
+def shaped_items(rates: DataFrame, slots: int = config.ITEM_SLOTS, base: str = config.ASSET_BASE) -> DataFrame:
+    """Texts and icons of the builds beside the rates of ``ITEM_KEYS``."""
     champion, combo = F.col("character_id"), joined(F.col("items"), config.ITEM_SEPARATOR)
     icons = F.transform("items", lambda item: icon_url(item, "items", base))
     return (
-        win_rate_rollup(item_builds(units, min_items, per_copy), keys, min_games)
-        .withColumn("item_combo", combo)
+        rates.withColumn("item_combo", combo)
         .withColumn("_icons", icons)
         .select(
             "tft_set_number",

@@ -25,6 +25,9 @@ LAYERS = {
     "unit_winrate": "gold",
     "core_comp_winrate": "gold",
     "item_combo_winrate": "gold",
+    "unit_winrate_days": "sums",
+    "core_comp_winrate_days": "sums",
+    "item_combo_winrate_days": "sums",
 }
 
 
@@ -58,7 +61,7 @@ class Catalog:
         return f"{self.root}/{schema}/{name}"
 
     def stored(self, name: str) -> Dataset:
-        column = PARTITION if LAYERS.get(name) == "silver" else None
+        column = PARTITION if LAYERS.get(name) in ("silver", "sums") else None
         return Dataset(self.spark, self.path(name), column)
 
     def has(self, name: str) -> bool:

@@ -261,6 +261,7 @@ FROM facts""",
     "core_comp_winrate": CORE_COMP,
     "item_combo_winrate": ITEM_COMBO,
     "medallion_refresh": ITEM_COMBO,
+    "incremental_gold": ITEM_COMBO,
     "primary_trait": f"WITH {TRAITS}, {PRIMARY} SELECT * FROM best",
     "win_rate_rollup": f"""WITH {TRAITS}
 SELECT tft_set_number, trait_name, tier_current, {METRICS}

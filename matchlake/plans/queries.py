@@ -348,6 +348,21 @@ def incremental_refresh(t):
     return catalog.table("unit_winrate")
 
 
+@query
+def incremental_gold(t):
+    """Gold after three loads: some dates, further ones, then late and changed documents of all dates."""
+    root = run_folder(t, "gold")
+    catalog = Catalog(t.spark, root)
+    documents = fx.documents(t)
+    late = F.pmod(F.xxhash64("metadata"), F.lit(3)) == 0
+    early = F.col("date") < "2024-01-05"
+    other = documents.withColumn("info", F.regexp_replace("info", '"placement":[0-9]+', '"placement":8'))
+    for part in (documents.filter(early & ~late), other.filter(~early & ~late), documents):
+        bronze.write_bronze(part, catalog.path("raw_matches"))
+        run_incremental(catalog, f"{root}/checkpoint")
+    return catalog.table("item_combo_winrate")
+
+
 # --- discovery -------------------------------------------------------------------
 
 

@@ -82,12 +82,13 @@ class Dataset:
         values: list[date | None] | None = None,
         check: Callable[[DataFrame], None] | None = None,
         stale: list[str] | None = None,
+        made_of: dict[str, list[str]] | None = None,
     ) -> None:
         """Make ``df`` the whole content of the partitions ``values``, or of the table.
 
         ``check`` sees the new content before it counts, and may raise. Rows are rebalanced
         by partition: a date becomes a few files of good size however many tasks held its
-        rows, and a large date is split over several tasks.
+        rows, and a large date is split over several tasks. ``made_of`` is kept in the note.
         """
         generation = uuid.uuid4().hex
         own = f"{GENERATION}={generation}"
@@ -111,7 +112,7 @@ class Dataset:
                 raise ValueError(f"rows outside the replaced partitions: {sorted(strange)}")
             kept = [f for f in before["folders"] if f.split("/")[0] not in gone]
         number = (self._notes() or [0])[-1] + 1
-        note = {"schema": df.schema.jsonValue(), "folders": sorted(kept + filled), "stale": stale or []}
+        note = {"schema": df.schema.jsonValue(), "folders": sorted(kept + filled), "stale": stale or [], "made_of": made_of or {}}
         files.write_note(self.spark, f"{self.path}/_live/{number:010d}", note)
         self._tidy()
         self.spark.catalog.refreshByPath(self.path)

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from docs import bronze, document, player, trait, unit
 from matchlake.operators.quality import QualityError, assert_quality, check_not_null, check_unique
 from matchlake.plans.catalog import Catalog
-from matchlake.plans.medallion import collector_event, run_model, run_pipeline, select_models
+from matchlake.plans import daily
+from matchlake.plans.medallion import MODELS, collector_event, run_model, run_pipeline, select_models
+from matchlake.sources import partitions
 from matchlake.sources.bronze import bronze_partition_counts, expire_bronze, read_bronze, stream_bronze, write_bronze
+from matchlake.streaming import ingest
 from matchlake.streaming.ingest import run_incremental
 
 DAYS = [date(2024, 1, d) for d in (1, 2, 3)]
@@ -133,6 +136,50 @@ def test_stream_refresh_takes_each_file_once_and_late_ones_too(spark, tmp_path):
     assert tables(catalog) == tables(whole)
 
 
+def test_gold_is_summed_anew_for_changed_dates_only(spark, tmp_path):
+    """Inserts, late files, a match that moves to another date, and a date that goes."""
+    catalog, checkpoint = Catalog(spark, str(tmp_path / "a")), str(tmp_path / "cp")
+    steps = [
+        ([match(n, DAYS[n % 2]) for n in range(12)], {DAYS[0], DAYS[1]}),
+        ([match(20, DAYS[2])], {DAYS[2]}),
+        ([match(21, DAYS[0], tft_set_number=17)], {DAYS[0]}),
+        ([match(0, DAYS[2])], {DAYS[0], DAYS[2]}),
+        ([], set()),
+    ]
+    for documents, touched in steps:
+        if documents:
+            put(catalog, *documents)
+        dates = {name: daily.changed_dates(catalog, name)[1] for name in GOLD}
+        assert all(not d for d in dates.values())
+        load = daily.refresh_gold
+        seen = {}
+        daily_refresh = lambda c: seen.update(load(c))
+        ingest.refresh_gold, before = daily_refresh, ingest.refresh_gold
+        try:
+            run_incremental(catalog, checkpoint)
+        finally:
+            ingest.refresh_gold = before
+        assert all(set(d) == touched for d in seen.values()) and set(seen) == set(GOLD)
+        for name in GOLD:
+            assert rows(catalog.table(name)) == rows(MODELS[name].build(*[catalog.table(n) for n in MODELS[name].needs]))
+
+
+def test_a_cut_off_refresh_is_made_up_for(spark, tmp_path, monkeypatch):
+    catalog, checkpoint = Catalog(spark, str(tmp_path / "a")), str(tmp_path / "cp")
+    put(catalog, match(1, DAYS[0]))
+    monkeypatch.setattr(ingest, "refresh_gold", lambda c: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_incremental(catalog, checkpoint)
+    monkeypatch.undo()
+    run_incremental(catalog, checkpoint)  # nothing new arrives, yet gold is behind
+    whole = Catalog(spark, str(tmp_path / "b"))
+    put(whole, match(1, DAYS[0]))
+    run_pipeline(whole, "full")
+    assert tables(catalog) == tables(whole)
+    text = catalog.table("fact_units").filter(partitions.touched("ingestion_date", [DAYS[0]]))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(ingestion_date" in text
+
+
 def test_a_second_write_to_a_date_loads_only_what_changed(spark, tmp_path):
     catalog, checkpoint = Catalog(spark, str(tmp_path / "a")), str(tmp_path / "cp")
     root, seen = catalog.path("raw_matches"), []
