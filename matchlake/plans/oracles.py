@@ -295,6 +295,9 @@ WHERE ingestion_date >= (SELECT max(ingestion_date) FROM players WHERE ingestion
 SELECT puuid, CASE WHEN CAST(trunc(o_totalprice) AS BIGINT) % 3 = 2 THEN o_totalprice END AS amount,
   CASE WHEN CAST(trunc(o_totalprice) AS BIGINT) % 3 = 2 THEN 'S' || placement ELSE CAST(placement AS VARCHAR) END AS seat, ingestion_date
 FROM players""",
+    "staged_view": f"""WITH {SEATS}, staged AS ({STAGED})
+SELECT match_id, data_version, game_id, ingestion_date, strftime(ingestion_date, '%Y-%m-%d') AS folder_date FROM staged""",
+    "bronze_as_of": f"WITH {SEATS} SELECT DISTINCT 'M' || m AS match_id, DATE '2024-03-01' AS ingestion_date FROM players",
     "expire_bronze": f"""WITH {SEATS}
 SELECT ingestion_date AS date, count(DISTINCT m) AS total FROM players WHERE ingestion_date >= DATE '2024-01-08'
 GROUP BY 1 ORDER BY 1 DESC""",
@@ -347,6 +350,9 @@ SELECT '20240101-0000-' || number AS batch_id, unnest(ids) AS match_id FROM deco
     "split_dead_letters": """SELECT user_id || '_' || strftime(ts, '%Y-%m-%d') AS match_id, count(*) AS deliveries
 FROM events GROUP BY 1 HAVING count(*) >= 5""",
     "fold_ledger": FOLD,
+    "fold_ledger_long_errors": FOLD.replace("'connection reset'", "substr(repeat('connection reset', 60), 1, 500)").replace(
+        "'API key refused (401)'", "substr(repeat('API key refused (401)', 60), 1, 500)"
+    ),
     "fold_ledger_sliced": FOLD,
     "stream_ledger": FOLD,
     "fold_ledger_prior": f"WITH {_fold('hour(ts) >= 12, ts, event_id')} SELECT * FROM folded",
@@ -395,3 +401,16 @@ UNION ALL SELECT 'queue_id', count(*) FILTER (queue_id IS NULL) FROM players""",
     "check_unique": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 }
+
+_STORED = {
+    "raw/raw_matches": "bronze_round_trip",
+    "facts/fact_player_results": "player_results",
+    "facts/fact_traits": "trait_facts",
+    "facts/fact_units": "unit_facts",
+}
+ORACLES["layer_folders"] = " UNION ALL ".join(
+    f"SELECT '{folder}' AS folder, count(*) AS n FROM ({ORACLES[query]})" for folder, query in _STORED.items()
+)
+_SUMMARY = ORACLES["collector_summary"]
+ORACLES["collector_refresh"] = f"""SELECT 'collector_finished' AS event, 1::BIGINT AS n, new_ids, batches FROM ({_SUMMARY})
+UNION ALL SELECT x, 1, NULL, NULL FROM (VALUES ('transformation_finished'), ('collector_handled')) t(x)"""

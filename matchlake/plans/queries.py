@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +20,10 @@ from matchlake.operators.ranking import first_distinct, top_per_group
 from matchlake.operators.staging import stage_matches
 from matchlake.plans import fixtures as fx
 from matchlake.plans.catalog import Catalog
-from matchlake.plans.medallion import run_pipeline
+from matchlake.plans.medallion import run_model, run_pipeline
 from matchlake.sources import bronze, messages, scratch
 from matchlake.sources.catalogue import read_item_catalogue
+from matchlake.streaming.events import announce_collector, read_events, refresh_on_events
 from matchlake.streaming.ingest import run_incremental
 from matchlake.streaming.ledger import LedgerTable, stream_ledger
 
@@ -286,6 +287,53 @@ def bronze_round_trip(t):
     return staged.select("match_id", "game_id", "game_datetime", "game_length_seconds", "queue_id", "ingestion_date")
 
 
+@query
+def staged_view(t):
+    """The staging model as the view it is stored as, with the date of the folder each document lies in."""
+    catalog = Catalog(t.spark, run_folder(t, "view"))
+    bronze.write_bronze(fx.documents(t), catalog.path("raw_matches"))
+    run_model(catalog, "stg_matches")
+    folder = F.regexp_extract("source_file", "/date=([0-9-]+)/[^/]+$", 1).alias("folder_date")
+    return t.spark.table("stg_matches").select("match_id", "data_version", "game_id", "ingestion_date", folder)
+
+
+@query
+def bronze_as_of(t):
+    """Documents without a date go to the UTC date of the moment they are written at."""
+    root = run_folder(t, "as-of")
+    moment = F.lit("2024-03-01 23:30:00").cast("timestamp")
+    bronze.write_bronze(fx.documents(t).drop("date"), root, as_of=moment)
+    return stage_matches(bronze.read_bronze(t.spark, root)).select("match_id", "ingestion_date")
+
+
+@query
+def layer_folders(t):
+    """Rows of the stored tables, read from the folders that renamed layers put them in."""
+    root = run_folder(t, "layers")
+    catalog = Catalog(t.spark, root, layer_schemas={"bronze": "raw", "silver": " facts "})
+    bronze.write_bronze(fx.documents(t), catalog.path("raw_matches"))
+    run_pipeline(catalog, mode="full")
+    parts = []
+    for name in ("raw/raw_matches", "facts/fact_player_results", "facts/fact_traits", "facts/fact_units"):
+        reader = t.spark.read.text if name.startswith("raw") else t.spark.read.parquet
+        parts.append(reader(f"{root}/{name}").agg(F.lit(name).alias("folder"), F.count(F.lit(1)).alias("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def collector_refresh(t):
+    """The log after a collector run, the refresh it starts, and a second look that finds nothing new."""
+    root = run_folder(t, "events")
+    catalog = Catalog(t.spark, root)
+    summary = discovery.collector_summary(discovery.classify_ids(fx.history(t), fx.ledger(t)))
+    announce_collector(catalog, summary)
+    bronze.write_bronze(fx.documents(t), catalog.path("raw_matches"))
+    for _ in range(2):
+        refresh_on_events(catalog, f"{root}/events-done", lambda: run_incremental(catalog, f"{root}/checkpoint"))
+    facts = [F.max(F.get_json_object("payload", f"$.{c}").cast("long")).alias(c) for c in ("new_ids", "batches")]
+    return read_events(catalog).groupBy("event").agg(F.count(F.lit(1)).alias("n"), *facts)
+
+
 @query
 def expire_bronze(t):
     """Documents per date that retention leaves."""
@@ -431,6 +479,12 @@ def fold_ledger(t):
     return ledger.fold_ledger(fx.ledger_events(t))
 
 
+@query
+def fold_ledger_long_errors(t):
+    """Error texts of many hundred characters; documents keep the first 500."""
+    return ledger.fold_ledger(fx.ledger_events(t).withColumn("message", F.repeat("message", F.lit(60))))
+
+
 @query
 def fold_ledger_sliced(t):
     """The same fold in slices of a few events, so that nearly every id lies in several."""

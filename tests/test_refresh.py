@@ -10,10 +10,11 @@ from docs import bronze, document, player, trait, unit
 from matchlake.operators.quality import QualityError, assert_quality, check_not_null, check_unique
 from matchlake.plans.catalog import Catalog
 from matchlake.plans import daily
-from matchlake.plans.medallion import MODELS, collector_event, run_model, run_pipeline, select_models
+from matchlake.plans.medallion import MODELS, collector_event, log_event, run_model, run_pipeline, select_models
 from matchlake.sources import partitions
 from matchlake.sources.bronze import bronze_partition_counts, expire_bronze, read_bronze, stream_bronze, write_bronze
 from matchlake.streaming import ingest
+from matchlake.streaming.events import announce_collector, read_events, refresh_on_events
 from matchlake.streaming.ingest import run_incremental
 
 DAYS = [date(2024, 1, d) for d in (1, 2, 3)]
@@ -249,3 +250,21 @@ def test_same_match_on_two_dates(spark, tmp_path):
 def test_collector_event(spark):
     summary = spark.createDataFrame([(5, 3, 2, 1, 50), (2, 0, 2, 0, 50)], "total_ids long, new_ids long, skipped long, batches long, batch_size long")
     assert [(r.event, r.new_ids) for r in collector_event(summary).collect()] == [("collector_finished", 3)]
+
+
+def test_every_collector_run_starts_one_refresh(spark, tmp_path):
+    catalog, done, runs = Catalog(spark, str(tmp_path)), str(tmp_path / "done"), []
+    shape = "total_ids long, new_ids long, skipped long, batches long, batch_size long"
+    log_event(catalog, "other")  # the log has events of others as well
+    for new_ids, want in ((3, 1), (0, 1), (2, 2)):
+        announce_collector(catalog, spark.createDataFrame([(5, new_ids, 0, 1, 50)], shape))
+        for _ in range(2):
+            refresh_on_events(catalog, done, lambda: runs.append(1))
+        assert len(runs) == want
+    # cut off inside a refresh: the next call makes up for it, and only for it
+    announce_collector(catalog, spark.createDataFrame([(5, 1, 0, 1, 50)], shape))
+    with pytest.raises(Exception, match="ZeroDivision"):
+        refresh_on_events(catalog, done, lambda: 1 / 0)
+    refresh_on_events(catalog, done, lambda: runs.append(1))
+    assert len(runs) == 3
+    assert read_events(catalog).filter("event = 'collector_handled'").count() == 3
