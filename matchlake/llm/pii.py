@@ -42,7 +42,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _GENERATORS = (
     re.compile(
         r"(?<![\w.%+-])[\w.%+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\}|@|\bat\b)\s?[\w-]{1,63}"
-        r"(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\bdot\b|\.)\s?[\w-]{1,63}){1,4}",
+        # a plain dot stands between letters; one with a space after it ends a sentence
+        r"(?:(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\bdot\b)\s?|\.)[\w-]{1,63}){1,4}",
         re.IGNORECASE,
     ),
     re.compile(r"(?<![0-9])[0-9]{1,4}(?:(?:\s?[.,_:-]\s?|\[\.\]|\(\.\)|\sdot\s)[0-9]{1,4}){3}(?![0-9])"),
