@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake import config
 from matchlake.operators.incremental import refuse_duplicates, unique_updates, upsert
+from matchlake.operators.quality import Watch
 from matchlake.schemas import describe
 from matchlake.sources import files, partitions, scratch
 from matchlake.sources.bronze import read_bronze, read_matches
@@ -29,6 +31,10 @@ LAYERS = {
     "core_comp_winrate_days": "sums",
     "item_combo_winrate_days": "sums",
 }
+# What the views of gold tables are narrowed by (``gold.meta_view``), the fewest values first.
+GOLD_ORDER = ("patch", "tier_winrate", "character_id")
+# As many ids are looked for one by one; beyond that, between the smallest and the largest.
+SEARCH_IDS = 10_000
 
 
 class Catalog:
@@ -61,8 +67,9 @@ class Catalog:
         return f"{self.root}/{schema}/{name}"
 
     def stored(self, name: str) -> Dataset:
-        column = PARTITION if LAYERS.get(name) in ("silver", "sums") else None
-        return Dataset(self.spark, self.path(name), column)
+        layer = LAYERS.get(name)
+        column = PARTITION if layer in ("silver", "sums") else None
+        return Dataset(self.spark, self.path(name), column, GOLD_ORDER if layer == "gold" else ())
 
     def has(self, name: str) -> bool:
         if name in self._views:
@@ -104,23 +111,54 @@ class Catalog:
         on_duplicate: str = "error",
         full_refresh: bool = False,
         check: Callable[[DataFrame], None] | None = None,
+        watch: Watch | None = None,
+        search: list[str] | None = None,
+        held: list[date | None] | None = None,
     ) -> DataFrame:
         """Store ``df`` as a ``view``, a rebuilt ``table`` or an ``incremental`` table.
 
-        ``check`` sees what was written before readers do; if it raises, or the build
-        fails, the table stays as it was.
+        ``check`` sees what was written before readers do, ``watch`` counts it on the way; if
+        one raises, or the build fails, the table stays as it was. Old rows of an update are
+        searched by ``search``, columns that every key determines, or else by the keys; or
+        the dates that hold them are known already (``held``).
         """
         if kind == "view":
             self._views[name] = describe(df, name)
             df.createOrReplaceTempView(name)
         elif kind == "table":
-            self.stored(name).replace(df, check=check)
+            self.stored(name).replace(df, check=check, watch=watch)
         elif kind == "incremental":
-            self._merge(df, name, keys or [], on_duplicate, full_refresh, check)
+            self._merge(df, name, keys or [], on_duplicate, full_refresh, check, watch, search, held)
         else:
             raise ValueError(f"unknown kind: {kind}")
         return self.table(name)
 
+    def dates_holding(self, names: list[str], updates: DataFrame, keys: list[str]) -> dict[str, list[date | None]]:
+        """Dates on which stored tables hold keys of ``updates``, found by one search for all of them.
+
+        A bounded number of ids is looked for one by one, so that scans skip row groups by their
+        statistics, dictionaries and Bloom filters; of more ids, which hardly a row group would
+        lack, the range is looked at. What is found is the same.
+        """
+        first = F.col(keys[0])
+        wanted = updates.select(*keys).filter(first.isNotNull())
+        ids = [row[0] for row in wanted.select(keys[0]).distinct().limit(SEARCH_IDS + 1).collect()]
+        listed = len(ids) <= SEARCH_IDS
+        if listed:
+            near = first.isin(ids) if ids else F.lit(False)
+        else:
+            # Ids grow with time, so their range lets the scan skip most old files.
+            low, high = wanted.agg(F.min(first), F.max(first)).first()
+            near = first.between(F.lit(low), F.lit(high))
+        tables = [self.stored(name).read().filter(near).select(*keys, PARTITION) for name in names]
+        found = reduce(DataFrame.unionByName, [t.withColumn("_table", F.lit(n)) for n, t in zip(names, tables)])
+        if not listed or len(keys) > 1:
+            found = found.join(wanted, keys, "left_semi")
+        dates: dict[str, list[date | None]] = {name: [] for name in names}
+        for name, day in found.select("_table", PARTITION).distinct().collect():
+            dates[name].append(day)
+        return dates
+
     def _merge(
         self,
         df: DataFrame,
@@ -129,6 +167,9 @@ class Catalog:
         on_duplicate: str,
         full_refresh: bool,
         check: Callable[[DataFrame], None] | None,
+        watch: Watch | None,
+        search: list[str] | None,
+        held: list[date | None] | None,
     ) -> None:
         table = self.stored(name)
         # The updates are used several times: made unique, then computed once.
@@ -137,9 +178,10 @@ class Catalog:
             refuse_duplicates(updates, keys)
         else:
             updates = scratch.save(unique_updates(df, keys, on_duplicate), f"updates-{name}")
+        bloom = (search or keys)[0]
         note = table.live()
         if full_refresh or note is None:
-            table.replace(updates, check=check)
+            table.replace(updates, check=check, watch=watch, bloom=bloom)
             return
         target = table.read()
         old, new = target.schema, df.schema
@@ -148,14 +190,12 @@ class Catalog:
         returned = any(f.name not in old.names and f.name in note["stale"] for f in new.fields)
         if retyped or returned:
             # Old files hold other values or types under these names: all of them are rewritten.
-            table.replace(upsert(target, updates, keys, "checked"), check=check)
+            table.replace(upsert(target, updates, keys, "checked"), check=check, watch=watch, bloom=bloom)
             return
         # An update may move a row to another date; its old partition is touched too.
-        # Ids grow with time, so their range lets the scan skip most old files.
-        first = F.col(keys[0])
-        low, high = updates.agg(F.min(first), F.max(first)).first()
-        near = target.filter(first.between(F.lit(low), F.lit(high))).select(*keys, PARTITION)
-        moved = near.join(updates.select(*keys), keys, "left_semi")
-        dates = partitions.partition_values(moved.select(PARTITION).union(updates.select(PARTITION)), PARTITION)
+        if held is None:
+            known = search is not None and {*search} <= {*old.names} & {*new.names}
+            held = self.dates_holding([name], updates, search if known else keys)[name]
+        dates = list({*held, *partitions.partition_values(updates, PARTITION)})
         merged = upsert(target.filter(partitions.touched(PARTITION, dates)), updates, keys, "checked")
-        table.replace(merged, dates, check, stale=sorted({*note["stale"], *gone}))
+        table.replace(merged, dates, check, stale=sorted({*note["stale"], *gone}), watch=watch, bloom=bloom)

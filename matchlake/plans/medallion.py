@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from matchlake import config
 from matchlake.operators import gold, silver
 from matchlake.operators.incremental import incremental_slice
-from matchlake.operators.quality import KEYS, assert_quality
+from matchlake.operators.quality import KEYS, SEARCH, watch_quality
 from matchlake.operators.staging import stage_matches
 from matchlake.plans.catalog import PARTITION, Catalog
 from matchlake.sources.bronze import latest_matches
@@ -59,12 +59,9 @@ def run_model(
     model = MODELS[name]
     # The view is for readers; the facts come from the same documents by a shorter way.
     inputs = [catalog.matches() if need == "stg_matches" else catalog.table(need) for need in model.needs]
-
-    def check(new: DataFrame) -> None:
-        assert_quality(new, name)
-
+    watch = watch_quality(name)
     if model.kind == "table":
-        return catalog.materialize(model.build(*inputs), name, "table", check=check)
+        return catalog.materialize(model.build(*inputs), name, "table", watch=watch)
     if model.kind == "incremental":
         if not full_refresh and catalog.has(name):
             # On the input, below any explode: the literal prunes the folders scanned.
@@ -74,7 +71,7 @@ def run_model(
             inputs[0] = latest_matches(inputs[0])
         built = model.build(inputs[0], as_of=as_of)
         return catalog.materialize(
-            built, name, "incremental", KEYS[name], on_duplicate=on_duplicate, full_refresh=full_refresh, check=check
+            built, name, "incremental", KEYS[name], on_duplicate, full_refresh, watch=watch, search=SEARCH
         )
     return catalog.materialize(model.build(inputs[0], as_of=as_of), name, model.kind)
 

@@ -5,6 +5,10 @@ touched. Then one small numbered note is put in place that lists the live folder
 partition, and the schema. Readers open what the newest note lists, so they see the table as
 it was or as it is now, whatever a write was cut off at. Folders that neither the newest nor
 the last note but one lists are removed. A table has one writer at a time.
+
+What readers look for may be laid out for them: a table that is rebuilt as a whole is sorted
+(``order``) into small row groups, and files of a table that is searched for keys carry Bloom
+filters of these (``bloom``). Scans then skip row groups by their own statistics.
 """
 
 from __future__ import annotations
@@ -13,14 +17,18 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlake.operators.quality import Watch
 from matchlake.sources import files
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 GENERATION = "gen"
+# Row groups and pages of sorted tables: small, as these are what a scan can skip.
+SORTED_ROW_GROUP_BYTES = 4 << 20
+SORTED_PAGE_ROWS = 1000
 
 
 def folder_of(column: str, value: date | None) -> str:
@@ -40,12 +48,18 @@ def partition_values(df: DataFrame, column: str) -> list[date | None]:
 
 
 class Dataset:
-    """A parquet table below ``path``, partitioned by a date ``column`` or not at all."""
+    """A parquet table below ``path``, partitioned by a date ``column`` or not at all.
+
+    ``order`` sorts the files of a table without partitions by those of its columns it names.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, column: str | None = None):
+    def __init__(
+        self, spark: SparkSession, path: str, column: str | None = None, order: tuple[str, ...] = ()
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.column = column
+        self.order = order
 
     def _notes(self) -> list[int]:
         return sorted(int(n) for n in files.names(self.spark, f"{self.path}/_live") if n.isdigit())
@@ -83,24 +97,48 @@ class Dataset:
         check: Callable[[DataFrame], None] | None = None,
         stale: list[str] | None = None,
         made_of: dict[str, list[str]] | None = None,
+        watch: Watch | None = None,
+        bloom: str | None = None,
     ) -> None:
         """Make ``df`` the whole content of the partitions ``values``, or of the table.
 
-        ``check`` sees the new content before it counts, and may raise. Rows are rebalanced
+        ``check`` sees the new content before it counts, and may raise; ``watch`` judges counts
+        that the write itself has taken, without a second look. Rows are rebalanced
         by partition: a date becomes a few files of good size however many tasks held its
         rows, and a large date is split over several tasks. ``made_of`` is kept in the note.
+        ``bloom`` names a column that rows will be searched by.
         """
         generation = uuid.uuid4().hex
         own = f"{GENERATION}={generation}"
-        rows = df.withColumn(GENERATION, F.lit(generation))
-        keys = [GENERATION] if self.column is None else [self.column, GENERATION]
-        dealt = rows if self.column is None else rows.hint("rebalance", self.column)
-        dealt.write.mode("append").partitionBy(*keys).parquet(self.path)
+        order = [c for c in self.order if c in df.columns]
+        dealt = df
+        if self.column is not None:
+            dealt = df.withColumn(GENERATION, F.lit(generation)).hint("rebalance", self.column)
+        elif order:
+            # Few values lead the order, so each lies in few files; large ones are split.
+            dealt = df.hint("rebalance", *order[:2]).sortWithinPartitions(*order)
+        seen = None
+        if watch is not None:
+            # In the tasks that write: a task that is run again counts once.
+            seen = Observation()
+            dealt = dealt.observe(seen, *watch.counts)
+        writer = dealt.write.mode("append")
+        if bloom is not None:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         if self.column is None:
+            if order:
+                writer = writer.option("parquet.block.size", str(SORTED_ROW_GROUP_BYTES))
+                writer = writer.option("parquet.page.row.count.limit", str(SORTED_PAGE_ROWS))
+            writer.parquet(f"{self.path}/{own}")
             filled = [own] if files.exists(self.spark, f"{self.path}/{own}") else []
         else:
+            writer.partitionBy(self.column, GENERATION).parquet(self.path)
             names = [n for n in files.folders(self.spark, self.path) if n.startswith(f"{self.column}=")]
             filled = [f"{n}/{own}" for n in names if files.exists(self.spark, f"{self.path}/{n}/{own}")]
+        if seen is not None:
+            # Without any row there is nothing to count, and nothing wrong.
+            watch.judge({name: n or 0 for name, n in seen.get.items()})
         if check is not None:
             check(self._open(df.schema, filled))
         before = self.live()
