@@ -283,6 +283,8 @@ SELECT *, CASE WHEN games < 15 THEN 'N/A' WHEN top4_rate >= 80 THEN 'S' WHEN top
 FROM rates""",
     "patch_extract": f"WITH {SEATS} SELECT match_id, puuid, game_version, patch FROM players",
     "meta_view": f"""SELECT * FROM ({ITEM_COMBO}) WHERE patch = '16.2.700' AND tier_winrate = 'B'
+ORDER BY character_id, top4_rate DESC""",
+    "meta_view_stored": f"""SELECT * FROM ({ITEM_COMBO}) WHERE patch = '16.2.700' AND tier_winrate = 'B'
 ORDER BY character_id, top4_rate DESC""",
     "incremental_slice": f"""WITH {SEATS}
 SELECT match_id, puuid, placement, ingestion_date FROM players
@@ -302,6 +304,9 @@ SELECT match_id, data_version, game_id, ingestion_date, strftime(ingestion_date,
 SELECT ingestion_date AS date, count(DISTINCT m) AS total FROM players WHERE ingestion_date >= DATE '2024-01-08'
 GROUP BY 1 ORDER BY 1 DESC""",
     "stream_dedupe": f"WITH {SEATS} SELECT DISTINCT 'M' || m AS match_id FROM players",
+    "stream_dedupe_expiry": f"""WITH {SEATS}
+SELECT DISTINCT 'M' || m AS match_id, ingestion_date AS date FROM players
+UNION ALL SELECT DISTINCT 'M' || m, ingestion_date + 100 FROM players""",
     "changed_documents_refresh": CORE_COMP,
     "medallion_players": PLAYER_RESULTS,
     "item_catalogue": """SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS pos, p_name AS "apiName",

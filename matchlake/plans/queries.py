@@ -205,6 +205,14 @@ def meta_view(t):
     return gold.meta_view(gold.item_combo_winrate(fx.unit_rows(t)), patch="16.2.700", tier="B")
 
 
+@query
+def meta_view_stored(t):
+    """The same view of a stored table, sorted for it."""
+    catalog = Catalog(t.spark, run_folder(t, "views"))
+    items = catalog.materialize(gold.item_combo_winrate(fx.unit_rows(t)), "item_combo_winrate", "table")
+    return gold.meta_view(items, patch="16.2.700", tier="B")
+
+
 # --- incremental loading ---------------------------------------------------------
 
 
@@ -354,6 +362,20 @@ def stream_dedupe(t):
     return t.spark.read.schema("match_id string").parquet(f"{out}/rows")
 
 
+@query
+def stream_dedupe_expiry(t):
+    """Documents of a stream that keeps ids for 30 days: copies 10 and 101 days later, a third of them, then 100 days later."""
+    root, out = run_folder(t, "expiry"), run_folder(t, "expiry-out")
+    documents = fx.documents(t)
+    third = F.pmod(F.xxhash64("metadata"), F.lit(3)) == 0
+    for later, part in ((0, documents), (10, documents), (101, documents.filter(third)), (100, documents)):
+        bronze.write_bronze(part.withColumn("date", F.date_add("date", later)), root)
+        stream = bronze.stream_bronze(t.spark, root, dedupe=True, dedupe_days=30).select("match_id", "date")
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
+        writer.trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+    return t.spark.read.schema("match_id string, date date").parquet(f"{out}/rows")
+
+
 @query
 def changed_documents_refresh(t):
     """Two writes to the same dates, the second changing documents, each followed by a refresh."""

@@ -69,12 +69,22 @@ def _matches(documents: DataFrame) -> DataFrame:
 
 
 def stream_bronze(
-    spark: SparkSession, root: str, dedupe: bool = False, files_per_batch: int | None = None
+    spark: SparkSession,
+    root: str,
+    dedupe: bool = False,
+    files_per_batch: int | None = None,
+    dedupe_days: int | None = None,
 ) -> DataFrame:
     """Documents of newly arrived files, each file once.
 
     ``dedupe`` also drops documents whose match id came before. That keeps every id in
-    the state store; loading through ``upsert`` needs no such state.
+    the state store; loading through ``upsert`` needs no such state. With ``dedupe_days`` an id
+    is forgotten once the newest date of earlier batches is ``2 * dedupe_days`` past its own, so
+    the state ends as retention ends the files. Copies at most ``dedupe_days`` later never
+    come through; one that comes after its id was forgotten is a document again. Documents more
+    than ``dedupe_days`` older than the newest date of earlier batches, which retention would
+    remove, are left out. Documents without a match id count as copies of each other. Those
+    without a date are never too old, and their ids may be forgotten with their batch.
     """
     reader = spark.readStream.schema(schemas.BRONZE).option("mode", "FAILFAST")
     if files_per_batch is not None:
@@ -82,7 +92,11 @@ def stream_bronze(
     documents = _columns(reader.json(root))
     if not dedupe:
         return documents
-    return documents.withColumn("match_id", match_id_of(F.col("metadata"))).dropDuplicates(["match_id"])
+    documents = documents.withColumn("match_id", match_id_of(F.col("metadata")))
+    if dedupe_days is None:
+        return documents.dropDuplicates(["match_id"])
+    dated = documents.withColumn("_day", F.col("date").cast("timestamp")).withWatermark("_day", f"{dedupe_days} days")
+    return dated.dropDuplicatesWithinWatermark(["match_id"]).drop("_day")
 
 
 def json_lines(df: DataFrame) -> DataFrame:

@@ -112,7 +112,7 @@ def test_bronze_is_read_without_shuffling_documents(spark, small, tmp_path):
         assert "Window" not in text
 
 
-STORING = {"upsert_table", "bronze_round_trip", "medallion_refresh", "incremental_refresh", "stream_ledger", "full_refresh_table", "sync_columns_table", "expire_bronze", "stream_dedupe", "changed_documents_refresh", "medallion_players", "incremental_gold", "staged_view", "bronze_as_of", "layer_folders", "collector_refresh"}
+STORING = {"meta_view_stored", "stream_dedupe_expiry", "upsert_table", "bronze_round_trip", "medallion_refresh", "incremental_refresh", "stream_ledger", "full_refresh_table", "sync_columns_table", "expire_bronze", "stream_dedupe", "changed_documents_refresh", "medallion_players", "incremental_gold", "staged_view", "bronze_as_of", "layer_folders", "collector_refresh"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STORING))

@@ -1,7 +1,7 @@
 """Bronze files, the layer runner, and the file stream."""
 
 import json
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,6 +235,31 @@ def test_stream_dedupe(spark, tmp_path):
     assert sorted(r.match_id for r in spark.read.parquet(out).collect()) == ["M1", "M2"]
 
 
+def test_stream_dedupe_forgets_ids_with_retention(spark, tmp_path):
+    """Copies inside the limit go, those beyond it are documents again, and what is older than retention stays out."""
+    root, out, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "out"), str(tmp_path / "cp")
+    day = lambda n: date(2024, 1, 1) + timedelta(days=n)
+
+    def run():
+        query = (
+            stream_bronze(spark, root, dedupe=True, dedupe_days=10).select("match_id", "date")
+            .writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        )
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    write_bronze(bronze(spark, match(1, day(0)), match(2, day(1))), root)
+    run()
+    write_bronze(bronze(spark, match(1, day(10)), match(2, day(2)), match(3, day(5))), root)
+    assert run() == 3
+    write_bronze(bronze(spark, match(4, day(40))), root)
+    assert run() == 1  # the stream was restarted each time; ids 1 to 3 are forgotten, 4 is kept
+    write_bronze(bronze(spark, match(1, day(35)), match(2, day(29)), match(4, day(41))), root)
+    run()
+    got = sorted((r.match_id, (r.date - day(0)).days) for r in spark.read.parquet(out).collect())
+    assert got == [("M1", 0), ("M1", 35), ("M2", 1), ("M3", 5), ("M4", 40)]
+
+
 def test_same_match_on_two_dates(spark, tmp_path):
     from matchlake.operators.incremental import DuplicateKeyError
 
