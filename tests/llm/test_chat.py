@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import pytest
@@ -68,6 +69,50 @@ def test_odd_rows(spark, budget, history):
             assert w.text[: span.start].endswith("<|im_start|>assistant\n") and w.text[span.stop :].startswith("<|im_end|>")
 
 
+def _plain_windows(turns, budget, history):
+    """Windows (fresh turns, repeated turns) of one conversation, turn by turn; turns are (role, cost)."""
+    system = [0] if turns and turns[0][0] == "system" else []
+    base = sum(turns[k][1] for k in system)
+    windows, fresh, past, used = [], [], [], 0
+    for k, (_, cost) in enumerate(turns):
+        if fresh and used + cost > budget:
+            windows.append((fresh, (system if windows else []) + past))
+            past = past + [x for x in fresh if x not in system]
+            while past and (sum(turns[x][1] for x in past) > history or base + sum(turns[x][1] for x in past) + cost > budget):
+                past = past[1:]
+            fresh, used = [], base + sum(turns[x][1] for x in past)
+        fresh = [*fresh, k]
+        used += cost
+    return [*windows, (fresh, (system if windows else []) + past)]
+
+
+@pytest.mark.parametrize(("budget", "history", "segment", "block"), [(60, 20, 1, 25), (40, 39, 1, 7), (300, 0, 1, 1000), (25, 100, 50, 40), (60, 20, 10_000, 10_000)])
+def test_windows_are_those_taken_turn_by_turn(spark, budget, history, segment, block):
+    """Also where a conversation goes over many segments and blocks, and its system turn over many copies."""
+    rng, rows = random.Random(budget), []
+    for conv, size in [(0, 900), (1, 400), (2, 1), (3, 2), (None, 300), *[(k, rng.randint(1, 30)) for k in range(10, 40)]]:
+        for k in range(size):
+            role = "system" if k == 0 and conv in (0, 2, 3, 10, 11) else rng.choice(["user", "assistant", "system"])
+            long = 90 if rng.random() < 0.05 else rng.randint(0, 12)
+            rows.append((conv, k, role if k or conv != 1 else "user", f"{k} " + "word " * long))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = defaultdict(dict)
+    for w in chat.format_windows(frame, budget, history, segment=segment, windows_per_copy=16, rows_per_block=block).collect():
+        assert w.window not in got[w.conv_id]
+        numbers = [int(text.split()[0]) for _, text in chat.parse_window(w.text)]
+        got[w.conv_id][w.window] = (numbers[w.repeated :], numbers[: w.repeated])
+    by = defaultdict(list)
+    for conv, _, role, text in rows:
+        by[conv].append((role, chat.count_tokens(text, chat.RANKS) + chat.count_tokens(role, chat.RANKS) + chat.FRAME))
+    assert {c: [w[k] for k in sorted(w)] for c, w in got.items()} == {c: _plain_windows(t, budget, history) for c, t in by.items()}
+
+
+def test_long_runs_are_counted_whole():
+    for text in ["x" * 300_001, "ab" * 2_500 + " word", " " * 50_000 + "a"]:
+        whole = chat.count_tokens(text, chat.RANKS)
+        assert whole == len(chat._encodings[chat.RANKS].encode_ordinary(text))
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], CONV)
     assert chat.format_windows(frame).count() == 0 and chat.formatted_table(frame).count() == 0
