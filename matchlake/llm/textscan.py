@@ -7,6 +7,7 @@ odd factors fixed by a seed; equal byte strings have equal hashes in every run.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -45,6 +46,13 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return all_bytes[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, which a worker that is used again would keep."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc only
+        trim(0)
+
+
 def runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of consecutive runs of texts; a longer text stands alone."""
     data, offsets = flat(column)
@@ -54,6 +62,7 @@ def runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, np.nda
         end = min(max(end, start + 1), last)
         yield start, data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
         start = end
+    give_back()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
