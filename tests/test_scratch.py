@@ -1,0 +1,41 @@
+import os
+
+from pyspark.sql import functions as F
+
+from matchlake import config
+from matchlake.plans.catalog import Catalog
+from matchlake.sources import bronze, scratch
+from matchlake.streaming.ingest import run_incremental
+
+
+def staged(spark):
+    folder = config.shared_dir(spark)
+    return {n for n in os.listdir(folder) if n.startswith(("bronze-", "players-", "older-", "updates-"))}
+
+
+def test_staged_copies_go_once_written(spark, tmp_path):
+    before = staged(spark)
+    rows = [('{"match_id":"M1","data_version":"6"}', '{"gameId":1}', "2024-01-01")] * 2
+    docs = spark.createDataFrame(rows, "metadata string, info string, date string").withColumn("date", F.to_date("date"))
+    bronze.write_bronze(docs, str(tmp_path / "raw"))
+    assert staged(spark) == before
+    assert bronze.read_bronze(spark, str(tmp_path / "raw")).count() == 1
+
+
+def test_a_scope_removes_only_what_it_saved(spark):
+    outside = scratch.save(spark.range(3), "outside")
+    with scratch.scope():
+        inside = scratch.save(spark.range(2), "inside")
+        assert inside.count() == 2
+    assert outside.count() == 3
+
+
+def test_an_incremental_run_leaves_no_staged_tables(spark, small, tmp_path):
+    from matchlake.plans import fixtures as fx
+
+    catalog = Catalog(spark, str(tmp_path / "lake"))
+    bronze.write_bronze(fx.documents(fx.Tables(spark, small)), catalog.path("raw_matches"))
+    before = staged(spark)
+    run_incremental(catalog, str(tmp_path / "checkpoint"))
+    assert staged(spark) <= before
+    assert catalog.table("unit_winrate").count() > 0
