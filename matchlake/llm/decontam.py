@@ -2,7 +2,7 @@
 
 Benchmark items are cut into passages of at most 64 words, those of longer items overlapping by half. Terms are weighted by TF-IDF, the
 document frequencies being counted over all documents. A randomised SVD of the passage matrix
-(all benchmark passages, and those of a sample of documents, about ``sample_passages`` in all) gives a latent space:
+(all benchmark passages, and those of all documents) gives a latent space:
 random test vectors go once through ``A'A``, summed up over tasks, and the small sum is
 factorised on the driver; its size depends on the benchmark alone. Only benchmark terms
 are needed, as no other term adds to a product with a benchmark passage.
@@ -313,10 +313,9 @@ def _fit(docs: DataFrame, bench: Benchmark, rank: int, sample: int, seed: int) -
     tests = np.random.default_rng(seed).standard_normal((size + 1, rank)).astype(np.float32)
     tests[size] = 0
     known = np.append(idf, 0.0).astype(np.float32)
-    # whole documents are sampled by hash, so many that the bound on passages is met on average
-    share = min(1.0, sample / max(passages, 1))
-    mark = F.xxhash64("doc_id", "text", F.lit(seed)).cast("double") / 2.0**64 + 0.5
-    sampled = docs.where(mark <= share).select("text")
+    # every document's passages enter the fit; what a task sends on is one row per benchmark
+    # term it saw, so the sum is bounded by the benchmark however many documents there are
+    every = docs.select("text")
     vocabulary = bench.vocabulary
 
     def gram(at: np.ndarray, passage: np.ndarray) -> np.ndarray:
@@ -352,7 +351,7 @@ def _fit(docs: DataFrame, bench: Benchmark, rank: int, sample: int, seed: int) -
         z = np.stack(frame["z"].to_list()).astype(float).sum(axis=0)
         return pd.DataFrame({"term": frame["term"].iloc[:1], "z": [z.tolist()]})
 
-    parts = sampled.mapInArrow(part, "term long, z array<float>")
+    parts = every.mapInArrow(part, "term long, z array<float>")
     sums = parts.groupBy("term").applyInPandas(add, "term long, z array<double>")
     z = np.zeros((size, rank))
     for row in sums.toLocalIterator():  # rank values for each benchmark term of a block
@@ -382,6 +381,8 @@ def leaks(
     passages, which overlap by half, so that a run of 64 words nearly fills one wherever it begins. NULL and empty texts on either side give nothing; every row of a repeated
     doc_id or item_id counts by itself, so rows may repeat. Extra columns are not read. The
     benchmark is searched in blocks of about ``block_items``, each in one pass over ``docs``.
+    The latent space is fitted on every document; ``sample_passages`` is kept for callers and
+    narrows nothing.
     """
     spark = docs.sparkSession
     bench = benchmark.select("item_id", "text").where("text IS NOT NULL")

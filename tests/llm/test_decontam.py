@@ -205,3 +205,15 @@ def test_odd_rows(spark):
     assert decontam.leaks(odd.no_docs(spark), bench).count() == 0
     assert decontam.leaks(docs, bench.limit(0)).count() == 0
     assert textscan.few_none.size == 0
+
+
+def test_the_fit_reads_every_document(spark, planted):
+    """The latent space does not hang on a share of the documents: the bound on passages changes nothing."""
+    docs, items, _ = planted
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    fitted = []
+    for sample in (1, 10**9):
+        bench = decontam.Benchmark(items)
+        decontam._fit(frame, bench, decontam.RANK, sample, 5)
+        fitted.append(bench.folded)
+    assert np.allclose(fitted[0], fitted[1], rtol=1e-4, atol=1e-5)
