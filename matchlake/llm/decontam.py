@@ -36,6 +36,8 @@ GROUPS, SLICE = 256, 4096
 #: Pairs of a window and a passage verified together.
 PAIRS = 16384
 BLOCK_ITEMS = 5_000
+#: Words of whole passages whose products with the test vectors are formed at once in the fit.
+GRAM_WORDS = 16_384
 MIN_COSINE = 0.4
 #: A window with words of a passage only and this share of its energy has about ``MIN_COSINE``.
 MIN_HELD = MIN_COSINE**2
@@ -319,16 +321,27 @@ def _fit(docs: DataFrame, bench: Benchmark, rank: int, sample: int, seed: int) -
     vocabulary = bench.vocabulary
 
     def gram(at: np.ndarray, passage: np.ndarray) -> np.ndarray:
-        """A'A times the test vectors, for words ``at`` in numbered passages (in order)."""
+        """A'A times the test vectors, for words ``at`` in numbered passages (in order).
+
+        Whole passages are taken ``GRAM_WORDS`` words or so at a time, so the temporaries
+        stay bounded however many words a run of texts holds.
+        """
         out = np.zeros((size + 1, rank), np.float32)
-        if not len(at):
-            return out
-        heads = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-        number = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(at))))
-        sides = np.add.reduceat(known[at][:, None] * tests[at], heads, axis=0)
-        order = np.argsort(at, kind="stable")
-        begin = np.flatnonzero(np.append(True, at[order][1:] != at[order][:-1]))
-        out[at[order][begin]] = np.add.reduceat(known[at][order][:, None] * sides[number[order]], begin, axis=0)
+        heads = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))[: len(at)]
+        start = 0
+        while start < len(at):
+            end = len(at)
+            if end - start > GRAM_WORDS:
+                end = int(heads[np.searchsorted(heads, start + GRAM_WORDS, "right") - 1])
+                if end <= start:  # a passage longer than a chunk stands alone
+                    end = int(heads[np.searchsorted(heads, start, "right")]) if heads[-1] > start else len(at)
+            words, part_heads = at[start:end], heads[(heads >= start) & (heads < end)] - start
+            number = np.repeat(np.arange(len(part_heads)), np.diff(np.append(part_heads, len(words))))
+            sides = np.add.reduceat(known[words][:, None] * tests[words], part_heads, axis=0)
+            order = np.argsort(words, kind="stable")
+            begin = np.flatnonzero(np.append(True, words[order][1:] != words[order][:-1]))
+            out[words[order][begin]] += np.add.reduceat(known[words][order][:, None] * sides[number[order]], begin, axis=0)
+            start = end
         out[size] = 0
         return out
 

@@ -217,3 +217,17 @@ def test_the_fit_reads_every_document(spark, planted):
         decontam._fit(frame, bench, decontam.RANK, sample, 5)
         fitted.append(bench.folded)
     assert np.allclose(fitted[0], fitted[1], rtol=1e-4, atol=1e-5)
+
+
+def test_the_fit_is_summed_in_bounded_chunks(spark, planted, monkeypatch):
+    """The fit forms its products a bounded number of words at a time, with the same sum."""
+    docs, items, _ = planted
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    fitted = []
+    for words in (10**9, 70, 8):
+        monkeypatch.setattr(decontam, "GRAM_WORDS", words)
+        bench = decontam.Benchmark(items)
+        decontam._fit(frame, bench, decontam.RANK, decontam.SAMPLE_PASSAGES, 5)
+        fitted.append(bench.folded)
+    assert np.allclose(fitted[0], fitted[1], rtol=1e-4, atol=1e-5)
+    assert np.allclose(fitted[0], fitted[2], rtol=1e-4, atol=1e-5)
