@@ -248,15 +248,21 @@ def _fold_sliced(
     Counters are kept relative to the start of a slice, so documents beyond the limits fold alike.
     """
     parts = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(parts, math.ceil(named.count() / slice_events))
-    sliced = named.repartitionByRange(slices, "match_id", "event_time", "seq").withColumn("slice", F.spark_partition_id())
+    # As many ranges as shuffle partitions, each cut in order into slices of ``slice_events`` events:
+    # the number of tasks, range bounds and map outputs does not grow with the events.
+    ranged = _events(named.repartitionByRange(parts, "match_id", "event_time", "seq"), "match_id")
+    row = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    cut = ranged.sortWithinPartitions("match_id", "event").select(
+        "match_id", F.spark_partition_id().alias("part"), F.floor(row / slice_events).alias("cut"), "event"
+    )
     # Saved, so that the sampled bounds of the ranges are the same wherever they are used.
-    logs = scratch.save(
-        _events(sliced, "match_id", "slice")
-        .groupBy("match_id", "slice")
-        .agg(F.sort_array(F.collect_list("event")).alias("log")),
+    cuts = scratch.save(
+        cut.groupBy("match_id", "part", "cut").agg(F.sort_array(F.collect_list("event")).alias("log")),
         "ledger-logs",
     )
+    # Slices of an id follow each other in (range, cut); numbered so, gaps between ranges do no harm.
+    per_range = (cuts.agg(F.max("cut")).first()[0] or 0) + 1
+    logs = cuts.select("match_id", (F.col("part") * per_range + F.col("cut")).alias("slice"), "log")
     spread = scratch.save(
         logs.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"), F.min("slice").alias("first")).filter("n > 1").drop("n"),
         "ledger-spread",

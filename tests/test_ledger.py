@@ -219,6 +219,16 @@ def test_chains_of_blocks_of_slices(spark, monkeypatch):
     assert got == {m: brute_force(s) for m, s in sequences.items()}
 
 
+def test_slices_of_few_events_take_no_more_ranges_than_shuffle_partitions(spark, monkeypatch):
+    asked = []
+    ranges = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda df, n, *cols: asked.append(n) or ranges(df, n, *cols))
+    sequences = random_sequences(40, 30, 9)
+    got = documents(ledger.fold_ledger(events(spark, sequences), slice_events=2))
+    assert got == {m: brute_force(s) for m, s in sequences.items()}
+    assert asked and max(asked) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_events_without_an_id_count_for_nothing(spark):
     log = events(spark, {"a": "de"}).union(events(spark, {"x": "de"}).withColumn("match_id", F.lit(None).cast("string")))
     assert set(documents(ledger.fold_ledger(log, slice_events=1))) == {"a"}
