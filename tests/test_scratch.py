@@ -1,10 +1,17 @@
 import os
+import time
+from datetime import date
 
+import pyarrow.parquet as pq
+from docs import bronze as match_documents
+from docs import document, player, trait, unit
 from pyspark.sql import functions as F
 
 from matchlake import config
 from matchlake.plans.catalog import Catalog
+from matchlake.plans.queries import once
 from matchlake.sources import bronze, scratch
+from matchlake.sources.partitions import Dataset
 from matchlake.streaming.ingest import run_incremental
 
 
@@ -39,3 +46,90 @@ def test_an_incremental_run_leaves_no_staged_tables(spark, small, tmp_path):
     run_incremental(catalog, str(tmp_path / "checkpoint"))
     assert staged(spark) <= before
     assert catalog.table("unit_winrate").count() > 0
+
+
+def stored_codecs(folder):
+    found = [os.path.join(d, n) for d, _, names in os.walk(folder) for n in names if n.endswith(".parquet")]
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in found}
+
+
+def test_bronze_is_packed_and_reads_beside_plain_files(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    day = date(2024, 1, 1)
+    rows = [(f'{{"match_id":"M{i}","data_version":"6"}}', f'{{"gameId":{i},"text":"{"abc " * 200}"}}', day) for i in range(200)]
+    docs = spark.createDataFrame(rows, "metadata string, info string, date date")
+    plain = bronze.json_lines(docs.limit(1).withColumn("metadata", F.lit('{"match_id":"other"}')))
+    plain.write.mode("append").partitionBy("date").text(root)
+    bronze.write_bronze(docs, root)
+    files = [n for n in os.listdir(f"{root}/date={day}") if n.startswith("part-")]
+    packed = [n for n in files if n.endswith(".gz")]
+    assert packed and len(files) == len(packed) + 1
+    text = sum(len(m) + len(i) for m, i, _ in rows)
+    assert sum(os.path.getsize(f"{root}/date={day}/{n}") for n in packed) < text / 5
+    assert bronze.read_bronze(spark, root).count() == 201
+    bronze.write_bronze(docs, root)  # nothing new
+    assert len([n for n in os.listdir(f"{root}/date={day}") if n.startswith("part-")]) == len(files)
+    seen = bronze.stream_bronze(spark, root, dedupe=True).select("match_id").writeStream.format("parquet")
+    seen = seen.option("checkpointLocation", str(tmp_path / "done")).trigger(availableNow=True)
+    seen.start(str(tmp_path / "rows")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 201
+
+
+def test_stored_tables_are_packed(spark, tmp_path):
+    table = Dataset(spark, str(tmp_path / "table"), "day")
+    table.replace(spark.range(5).withColumn("day", F.lit("2024-01-01").cast("date")))
+    assert table.read().count() == 5
+    assert stored_codecs(table.path) == {"ZSTD"}
+    before = set(os.listdir(config.shared_dir(spark)))
+    with scratch.scope():
+        scratch.save(spark.range(5), "packed")
+        (made,) = set(os.listdir(config.shared_dir(spark))) - before
+        assert stored_codecs(f"{config.shared_dir(spark)}/{made}") == {"ZSTD"}
+
+
+def shuffle_bytes(spark):
+    tops = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(os.path.getsize(os.path.join(d, n)) for top in tops for d, _, names in os.walk(top) for n in names if n.startswith("shuffle_"))
+
+
+def settled(spark, most):
+    """Removal is asked for as the query ends, and done soon after."""
+    for _ in range(100):
+        if shuffle_bytes(spark) <= most:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_shuffle_files_go_with_the_query(spark):
+    grouped = spark.range(50_000).groupBy((F.col("id") % 5_000).alias("k")).agg(F.collect_list("id").alias("ids"))
+    before, setting = shuffle_bytes(spark), spark.conf.get(scratch.CLEANUP)
+    with scratch.scope():
+        saved = scratch.save(grouped, "grouped")
+        assert settled(spark, before)
+        assert saved.count() == 5_000
+    assert spark.conf.get(scratch.CLEANUP) == setting
+    before = shuffle_bytes(spark)
+    with scratch.tidy(spark):
+        again = grouped.filter("k >= 0")
+        assert len(again.collect()) == 5_000
+        assert settled(spark, before)
+        assert len(again.collect()) == 5_000  # computed again
+
+
+def test_documents_made_once_go_after_the_block(spark):
+    before = set(os.listdir(config.shared_dir(spark)))
+    with once(spark.range(3)) as documents:
+        assert documents.count() == documents.count() == 3
+        assert set(os.listdir(config.shared_dir(spark))) > before
+    assert set(os.listdir(config.shared_dir(spark))) == before
+
+
+def test_an_incremental_run_leaves_no_shuffle_files(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "lake"))
+    boards = [player(f"P{i}", i + 1, [unit("TFT16_Ahri", items=["a", "b"])], [trait("TFT16_T")]) for i in range(8)]
+    before = shuffle_bytes(spark)
+    bronze.write_bronze(match_documents(spark, *[document(f"M{i}", boards) for i in range(20)]), catalog.path("raw_matches"))
+    run_incremental(catalog, str(tmp_path / "checkpoint"))
+    assert settled(spark, before)
+    assert catalog.table("fact_units").count() == 160
