@@ -76,6 +76,26 @@ def test_stored_upsert_moves_rows_and_drops_emptied_partitions(spark, catalog):
     assert catalog.newest_partition("fact_units") == D[3]
 
 
+def test_whole_rows_are_dealt_only_where_keys_came_twice(spark, catalog, monkeypatch):
+    dealt = []
+    monkeypatch.setattr("matchlake.plans.catalog.unique_updates", lambda *a: dealt.append(1) or unique_updates(*a))
+    once = [("a", 1, D[0]), ("b", 2, D[1]), (None, 3, D[1]), (None, 3, D[1])]
+    assert content(load(catalog, rows(spark, *once), on_duplicate="latest")) == sorted(once, key=str)
+    assert not dealt
+    got = load(catalog, rows(spark, ("a", 5, D[0]), ("a", 6, D[2]), ("c", 7, D[0]), (None, 8, D[0])), on_duplicate="latest")
+    kept = [("a", 6, D[2]), ("c", 7, D[0]), (None, 8, D[0]), *once[1:]]
+    assert dealt and content(got) == sorted(kept, key=str)
+    with pytest.raises(ValueError, match="unknown on_duplicate"):
+        load(catalog, rows(spark, *once), on_duplicate="newest")
+
+
+def test_a_staged_frame_is_not_staged_again(spark, catalog, monkeypatch):
+    rows(spark, ("a", 1, D[0]), ("b", 2, D[1])).write.parquet(f"{catalog.root}/staged")
+    staged = spark.read.schema(SCHEMA).parquet(f"{catalog.root}/staged")
+    monkeypatch.setattr("matchlake.plans.catalog.scratch.save", None)
+    assert content(load(catalog, staged, on_duplicate="latest", staged=True)) == [("a", 1, D[0]), ("b", 2, D[1])]
+
+
 def test_loading_again_changes_nothing(spark, catalog):
     df = rows(spark, ("a", 1, D[0]), ("b", 2, D[1]))
     first = content(load(catalog, df))
